@@ -73,7 +73,8 @@ class Shop:
 
     @cached_property
     def discounts(self) -> DataFrame:
-        return silver.discounts(self.bronze("discounts"))
+        # staged, so that the joins know its size
+        return stage(silver.discounts(self.bronze("discounts")), "discounts")
 
     @cached_property
     def rates(self) -> DataFrame:

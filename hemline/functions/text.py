@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -42,22 +41,35 @@ def strip_titles(name: Column, strict: bool = False) -> Column:
     return F.trim(F.regexp_replace(name, title_pattern(strict), ""))
 
 
+# Dictionaries travel as one text literal, which the optimizer folds to a constant:
+# a plan with hundreds of separate literals takes longer to build than to run.
+_ENTRY, _PAIR = "\n", "\t"
+
+
+def _as_text(names: Mapping[str, str]) -> Column:
+    return F.lit(_ENTRY.join(f"{old}{_PAIR}{new}" for old, new in names.items()))
+
+
 def lookup_or_keep(text: Column, names: Mapping[str, str]) -> Column:
     """Exact-match translation; a value without an entry stays as it is.
 
     Meant for fixed dictionaries only. A mapping that grows with the data
     belongs in a table, see ``operators.joins.translate_names``.
     """
-    entries = [F.lit(x) for pair in names.items() for x in pair]
-    return F.coalesce(F.element_at(F.create_map(*entries), text), text)
+    known = F.str_to_map(_as_text(names), F.lit(_ENTRY), F.lit(_PAIR))
+    return F.coalesce(F.element_at(known, text), text)
 
 
 def replace_within(text: Column, names: Mapping[str, str]) -> Column:
     """Replace every key found inside the text, one after the other, in order."""
-    return reduce(
-        lambda done, pair: F.replace(done, F.lit(pair[0]), F.lit(pair[1])),
-        names.items(),
+    return F.aggregate(
+        F.split(_as_text(names), _ENTRY),
         text,
+        lambda done, pair: F.replace(
+            done,
+            F.split_part(pair, F.lit(_PAIR), F.lit(1)),
+            F.split_part(pair, F.lit(_PAIR), F.lit(2)),
+        ),
     )
 
 

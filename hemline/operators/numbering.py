@@ -64,16 +64,32 @@ def tile_of(position: Column, rows: Column, tiles: int) -> Column:
     return F.when(position <= head, in_head).otherwise(in_tail).cast("int")
 
 
-def _positions(df: DataFrame, key: str, metrics: Mapping[str, Column]) -> DataFrame:
-    """(key, metric no., sort value) numbered per metric, all in one sort.
+def descending(value: Column) -> tuple[Column, bool]:
+    """Mark a metric as ordered from its highest value, NULLs last."""
+    return value, True
+
+
+Metric = Column | tuple[Column, bool]
+
+
+def _sort_key(metric: Metric) -> Column:
+    """(where NULLs go, ascending value) of one metric, as Spark would order it."""
+    value, down = metric if isinstance(metric, tuple) else (metric, False)
+    nulls = F.when(value.isNull(), 1 if down else -1).otherwise(0)
+    number = value.cast("decimal(38,4)")
+    return F.struct(nulls.alias("_nulls"), (-number if down else number).alias("_value"))
+
+
+def _positions(df: DataFrame, key: str, metrics: Mapping[str, Metric]) -> DataFrame:
+    """(key, metric no., sort key) numbered per metric, all in one sort.
 
     Every metric contributes the same number of rows, so a row's position in
     its own metric is its global number less the metrics before it.
     """
-    values = F.array(*[m.cast("decimal(38,4)") for m in metrics.values()])
-    long = df.select(key, F.posexplode(values).alias("_metric", "_value"))
-    order = ["_metric", F.asc_nulls_first("_value"), key]
-    numbered = number_rows(long, order, "_row", total="_all")
+    sort_keys = F.array(*[_sort_key(m) for m in metrics.values()])
+    long = df.select(key, F.posexplode(sort_keys).alias("_metric", "_sort"))
+    long = long.select(key, "_metric", "_sort._nulls", "_sort._value")
+    numbered = number_rows(long, ["_metric", "_nulls", "_value", key], "_row", total="_all")
     rows = F.floor(F.col("_all") / len(metrics)).cast("long")
     return numbered.withColumn("_n", rows).withColumn(
         "_position", F.col("_row") - F.col("_metric") * F.col("_n")
@@ -87,18 +103,18 @@ def _spread(long: DataFrame, key: str, names: Sequence[str], value: Column) -> D
     )
 
 
-def ntile_scores(df: DataFrame, key: str, tiles: int, metrics: Mapping[str, Column]) -> DataFrame:
-    """``key`` and, per metric, NTILE(tiles) over its ascending value, ties by key.
+def ntile_scores(df: DataFrame, key: str, tiles: int, metrics: Mapping[str, Metric]) -> DataFrame:
+    """``key`` and, per metric, NTILE(tiles) in its order, ties by key.
 
-    ``key`` must be unique. NULL values come first; negate for descending order.
+    ``key`` must be unique. Metrics ascend, NULLs first, unless ``descending``.
     """
     placed = _positions(df, key, metrics)
     score = tile_of(F.col("_position"), F.col("_n"), tiles)
     return _spread(placed, key, list(metrics), score)
 
 
-def rank_scores(df: DataFrame, key: str, metrics: Mapping[str, Column]) -> DataFrame:
-    """``key`` and, per metric, RANK() over its ascending value.
+def rank_scores(df: DataFrame, key: str, metrics: Mapping[str, Metric]) -> DataFrame:
+    """``key`` and, per metric, RANK() in its order.
 
     Rows that tie share the lowest position among them, found by grouping, so a
     value held by a third of the rows never gathers in one window.

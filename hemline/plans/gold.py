@@ -10,14 +10,14 @@ from hemline.functions.dates import (
     age_group, age_on, first_of_month, first_of_next_month, months_of_operation,
 )
 from hemline.operators.joins import attach, attach_discounts, to_usd
-from hemline.operators.numbering import ntile_scores, number_rows
+from hemline.operators.numbering import descending, ntile_scores, number_rows
 
 MONEY = "decimal(10,4)"
 IS_SALE = "TransactionType = 'Sale'"
 IS_RETURN = "TransactionType = 'Return'"
 
 
-def _shaped(df: DataFrame, schema: StructType) -> DataFrame:
+def shaped(df: DataFrame, schema: StructType) -> DataFrame:
     """Declared columns and widths; a value that does not fit fails."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
@@ -77,7 +77,7 @@ def invoice_fact(transactions: DataFrame, stores: DataFrame, rates: DataFrame) -
     )
     invoices = stamped.groupBy(*_INVOICE_KEY).agg(F.sum("Quantity").alias("TotalQuantity"))
     placed = attach(invoices, stores, "StoreID", {"Country": "StoreCountry", "City": "StoreCity"})
-    return _shaped(to_usd(placed, rates, "InvoiceTotal", "InvoiceTotalUSD"), schemas.INVOICE_FACT)
+    return shaped(to_usd(placed, rates, "InvoiceTotal", "InvoiceTotalUSD"), schemas.INVOICE_FACT)
 
 
 # --- line items -----------------------------------------------------------
@@ -138,7 +138,7 @@ def invoice_line_items(
     discounts: DataFrame, rates: DataFrame,
 ) -> DataFrame:
     lines = line_items(transactions, stores, products, discounts, rates)
-    return _shaped(number_line_items(lines), schemas.INVOICE_LINE_ITEMS)
+    return shaped(number_line_items(lines), schemas.INVOICE_LINE_ITEMS)
 
 
 # --- customers ------------------------------------------------------------
@@ -261,7 +261,11 @@ def rfm_scores(rfm: DataFrame) -> DataFrame:
     """
     scores = ntile_scores(
         rfm, "CustomerID", 5,
-        {"R_Score": -F.col("Recency"), "F_Score": F.col("Frequency"), "M_Score": F.col("Monetary")},
+        {
+            "R_Score": descending(F.col("Recency")),
+            "F_Score": F.col("Frequency"),
+            "M_Score": F.col("Monetary"),
+        },
     )
     digits = [F.col(c).cast("string") for c in ("R_Score", "F_Score", "M_Score")]
     return scores.withColumn("RFM_Score", F.concat(*digits))
@@ -309,7 +313,7 @@ def gold_customers(
     segments = rfm_segments(customer_rfm(enriched, as_of)).select("CustomerID", "RFM_Segment")
     recency = F.datediff(as_of, F.coalesce(F.col("LastPurchaseDate"), as_of))
     scored = enriched.join(segments, "CustomerID", "left").withColumn("Recency", recency)
-    return _shaped(scored, schemas.GOLD_CUSTOMERS)
+    return shaped(scored, schemas.GOLD_CUSTOMERS)
 
 
 # --- stores ---------------------------------------------------------------
@@ -367,4 +371,4 @@ def gold_stores(stores: DataFrame, metrics: DataFrame) -> DataFrame:
     joined = stores.join(metrics, "StoreID", "left").withColumns(figures)
     counts = {"TotalSalesUSD": sales, "TotalTransactions": sold,
               "TotalReturns": F.coalesce(F.col("TotalReturns"), zero)}
-    return _shaped(joined.withColumns(counts), schemas.GOLD_STORES)
+    return shaped(joined.withColumns(counts), schemas.GOLD_STORES)

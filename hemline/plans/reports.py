@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hemline.operators.numbering import rank_scores
+from hemline.operators.numbering import descending, rank_scores
 from hemline.plans.gold import IS_SALE
 
 
@@ -221,8 +221,8 @@ def store_ranking(stores: DataFrame) -> DataFrame:
     ranks = rank_scores(
         stores, "StoreID",
         {
-            "SalesRank": -F.col("TotalSalesUSD"),
-            "MonthlyRank": -F.col("AverageMonthlyUSD"),
+            "SalesRank": descending(F.col("TotalSalesUSD")),
+            "MonthlyRank": descending(F.col("AverageMonthlyUSD")),
             "QualityRank": F.col("ReturnRate"),
         },
     )

@@ -9,19 +9,30 @@ are placed by the remainder of a key.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from hemline import schemas
 from hemline.sources.tables import spread
 
 
+_known_schemas: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A test table; its schema is read from the files only the first time."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _known_schemas:
+        _known_schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_known_schemas[path]).parquet(path)
 
 
 def _sql(df: DataFrame, schema, **columns: str) -> DataFrame:
     """One SQL expression per column, cast to the column's declared type."""
-    return df.select(
-        *[F.expr(columns[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.selectExpr(
+        *[
+            f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`"
+            for f in schema.fields
+        ]
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -84,9 +85,8 @@ def write_verified(df: DataFrame, path: str, mode: str = "overwrite",
     append is compared with the rows that were there before plus the new ones.
     """
     spark = df.sparkSession
-    earlier = 0
-    if mode == "append" and table_exists(spark, path):
-        earlier = spark.read.format(fmt).load(path).count()
+    stored = read_if_exists(spark, path, fmt) if mode == "append" else None
+    earlier = stored.count() if stored is not None else 0
     seen = Observation()
     write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode, fmt)
     written = earlier + seen.get["rows"]
@@ -100,21 +100,20 @@ def write_verified(df: DataFrame, path: str, mode: str = "overwrite",
     )
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the folder holds any data file; no data is read."""
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The stored table, or None where there is no folder or no file in it."""
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except Exception as problem:  # the reader's own class differs between client modes
-        if "PATH_NOT_FOUND" in str(problem):
-            return False
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
         raise
-    return len(files.inputFiles()) > 0
 
 
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                   schema: StructType | None = None, fmt: str = "parquet") -> DataFrame:
     """Read a stored table, or build, store and read it if it is not there."""
-    if not table_exists(spark, path):
+    if read_if_exists(spark, path, fmt) is None:
         write_table(build(), path, fmt=fmt)
     return read_table(spark, path, schema, fmt)
 
