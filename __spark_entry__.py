@@ -73,8 +73,8 @@ class Shop:
 
     @cached_property
     def discounts(self) -> DataFrame:
-        # staged, so that the joins know its size
-        return stage(silver.discounts(self.bronze("discounts")), "discounts")
+        # numbering stages it, so the joins know its size
+        return silver.discounts(self.bronze("discounts"))
 
     @cached_property
     def rates(self) -> DataFrame:

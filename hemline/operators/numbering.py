@@ -1,19 +1,21 @@
 """Row numbers, tiles and ranks over a whole table without a one-task window.
 
 ``row_number() over (order by ...)`` sends every row to one task. Here the
-table is range-sorted across all tasks, written once to the shared staging
-folder with each row's partition and place in it, and read back: a row's number
-is then its place plus the number of rows in the partitions before it. Only the
-per-partition counts (as many rows as the sort has partitions) meet in one
-place. Range boundaries are drawn on the complete order, so one hot leading key
-is spread over many partitions as long as the order is total.
+table is range-sorted across all tasks and written once to the shared staging
+folder with each row's partition and place in it. A row's number is then its
+place plus the number of rows in the partitions before it. Only the
+per-partition counts (as many numbers as the sort has partitions) come to the
+driver; they go back as one constant. Range boundaries are drawn on the
+complete order, so one hot leading key is spread over many partitions as long as
+the order is total.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hemline.sources.staging import stage
 
@@ -27,30 +29,22 @@ def number_rows(
 ) -> DataFrame:
     """Add ``name`` = 1..n in the given order, and optionally ``total`` = n.
 
-    The order must be total for the numbers to be repeatable. Runs one job, the
-    staged sort; what comes back is lazy and cut off from the input's lineage.
+    The order must be total for the numbers to be repeatable. Runs the staged
+    sort and a count over it; what comes back is a lazy scan of the staged table.
     """
     place = F.monotonically_increasing_id()
     rows = stage(df.orderBy(*order).withColumn("_place", place), "numbered")
-    rows = rows.withColumn("_part", F.shiftright("_place", _PLACE_BITS))
-
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        rows.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            "_part",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-            F.sum("_rows").over(Window.partitionBy()).alias("_total"),
-        )
-    )
-    # one row per sort partition, so the broadcast cannot grow with the table
-    placed = rows.join(F.broadcast(parts), "_part")
+
+    part = F.shiftright("_place", _PLACE_BITS).cast("int")
+    counts = dict(rows.groupBy(part.alias("part")).count().collect())
+    sizes = [counts.get(p, 0) for p in range(max(counts, default=0) + 1)]
+    # one text instead of one literal per partition, folded to a constant array
+    before = F.split(F.lit(",".join(map(str, accumulate(sizes, initial=0)))), ",")
     within = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    added = {name: F.col("_before") + within + 1}
+    added = {name: F.element_at(before.cast("array<bigint>"), part + 1) + within + 1}
     if total:
-        added[total] = F.col("_total")
-    return placed.withColumns(added).drop("_place", "_part", "_before", "_total")
+        added[total] = F.lit(sum(sizes)).cast("bigint")
+    return rows.withColumns(added).drop("_place")
 
 
 def tile_of(position: Column, rows: Column, tiles: int) -> Column:

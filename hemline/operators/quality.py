@@ -48,9 +48,12 @@ def null_nan_profile(df: DataFrame) -> DataFrame:
     """
     missing = _nulls(df)
     for name, kind in df.dtypes:
-        if kind in ("string", "float", "double"):
-            number = F.col(name).try_cast("double")
-            missing[name] = missing[name] | F.coalesce(F.isnan(number), F.lit(False))
+        if kind == "string":
+            # parsing a word as a number is slow, so only parse what can be one
+            word = F.col(name).rlike(r"(?i)^\s*[+-]?nan\s*$")
+            missing[name] |= word & F.isnan(F.when(word, F.col(name).try_cast("double")))
+        elif kind in ("float", "double"):
+            missing[name] |= F.isnan(name)
     share = F.round(F.col("null_count") * 100 / F.nullif(F.col("row_count"), F.lit(0)), 2)
     return _per_column(df, missing).select(
         "column_name", "null_count", share.alias("null_percentage")

@@ -24,17 +24,15 @@ def test_no_python_no_rdd_no_single_task(shop, name):
     for forbidden in ("BatchEvalPython", "ArrowEvalPython", "ExistingRDD", "SinglePartition",
                       "CartesianProduct", "BroadcastNestedLoopJoin"):
         if forbidden == "SinglePartition" and name == "gold_customers":
-            # the reference day is one maximum over per-task maxima, and the scores are
-            # numbered with one row per sort partition
-            continue
+            continue  # the reference day is one maximum over per-task maxima
         assert forbidden not in text, f"{forbidden} in {name}:\n{text}"
 
 
-def test_numbered_tables_do_not_gather_rows(shop):
-    """The only single-task step sums one row per sort partition."""
+def test_numbered_tables_are_plain_scans(shop):
+    """Once staged, numbers need no exchange, window or join."""
     text = plan(entry.gold.number_line_items(shop.lines))
-    before_single = text.split("SinglePartition")[1].split("FileScan")[0]
-    assert "HashAggregate(keys=[_part" in before_single
+    for step in ("Exchange", "Window", "Join", "Sort"):
+        assert step not in text
 
 
 def test_scans_read_only_what_is_used(shop):
