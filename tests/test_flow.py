@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from hemline import schemas
-from hemline.plans.pipeline import run_gold, run_silver
+from hemline.plans.flow import run_gold, run_silver
 from hemline.sources.tables import Catalog, read_table
 
 D = datetime.date
