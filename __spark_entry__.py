@@ -194,6 +194,15 @@ def usd_lines(t: Shop) -> DataFrame:
     return joins.to_usd(t.line_dims, t.rates, "LineTotal", "LineTotalUSD")
 
 
+def sql_over_tables(t: Shop) -> DataFrame:
+    """SQL text over DataFrames, with bound values and no global view names."""
+    return t.spark.sql(
+        """SELECT l.Country, s.NumberOfEmployees, count(*) AS LineCount
+           FROM {lines} l LEFT JOIN {stores} s ON l.StoreID = s.StoreID
+           WHERE l.TransactionType = :kind GROUP BY l.Country, s.NumberOfEmployees""",
+        args={"kind": "Return"}, lines=t.line_dims, stores=t.stores)
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Statistics to two decimals."""
     return df.select("statistic", *[F.round(c, 2).alias(c) for c in df.columns[1:]])
@@ -213,6 +222,7 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "sample_rows": lambda t: quality.sample_rows(
         t.transactions.select("InvoiceID", "Line", "ProductID", "LineTotal"), 5,
         "InvoiceID", "Line"),
+    "sql_over_tables": sql_over_tables,
     # profiles and checks
     "null_profile": lambda t: quality.null_profile(t.bronze("customers")),
     "null_nan_profile": lambda t: quality.null_nan_profile(t.bronze("transactions")),
@@ -276,6 +286,7 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "invoice_fact": lambda t: t.invoices,
     "fx_invoice": lambda t: t.invoices.select(
         "InvoiceID", "Date", "Currency", "InvoiceTotal", "InvoiceTotalUSD"),
+    "fx_missing": lambda t: joins.missing_rates(t.line_dims, t.rates),
     "line_items_dims": lambda t: t.line_dims.select(
         "InvoiceID", "Line", "ProductID", "Category", "SubCategory", "StoreID", "Country", "City"),
     "fx_line": lambda t: usd_lines(t).select(

@@ -44,6 +44,19 @@ def to_usd(df: DataFrame, rates: DataFrame, amount: str, out: str) -> DataFrame:
     )
 
 
+def missing_rates(df: DataFrame, rates: DataFrame) -> DataFrame:
+    """Rows per month and foreign currency that ``to_usd`` finds no rate for."""
+    used = (
+        df.filter(F.col("Currency").isNull() | (F.col("Currency") != "USD"))
+        .groupBy(first_of_month(F.col("Date")).alias("Month"), "Currency")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+    known = rates.filter(F.col("TargetCurrency") == "USD").select(
+        F.col("RateDate").alias("Month"), F.col("BaseCurrency").alias("Currency")
+    )
+    return used.join(known, ["Month", "Currency"], "left_anti")
+
+
 def promotion_months(discounts: DataFrame) -> DataFrame:
     """One row per promotion and calendar month it touches.
 

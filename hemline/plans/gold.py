@@ -9,6 +9,7 @@ from hemline import schemas
 from hemline.functions.dates import (
     age_group, age_on, first_of_month, first_of_next_month, months_of_operation,
 )
+from hemline.operators.grouping import collapse
 from hemline.operators.joins import attach, attach_discounts, to_usd
 from hemline.operators.numbering import descending, ntile_scores, number_rows
 
@@ -192,7 +193,8 @@ def customer_metrics(lines: DataFrame) -> DataFrame:
     no spending.
     """
     sale = F.expr(IS_SALE)
-    invoices = lines.groupBy("CustomerID", "InvoiceID").agg(
+    invoices = collapse(
+        lines, ["CustomerID", "InvoiceID"],
         F.sum(F.when(sale, F.col("LineTotalUSD"))).alias("_value"),
         F.max(F.when(sale, 1).otherwise(0)).alias("_sold"),
         F.max(F.when(sale, F.col("Date"))).alias("_last_sale"),
@@ -325,10 +327,9 @@ def store_metrics(lines: DataFrame) -> DataFrame:
     counts run over invoices instead of lines.
     """
     amount = F.col("LineTotalUSD")
-    invoices = lines.groupBy(
-        "StoreID", "TransactionType", "InvoiceID",
-        F.date_format("Date", "yyyy-MM").alias("_month"),
-    ).agg(
+    month = F.date_format("Date", "yyyy-MM").alias("_month")
+    invoices = collapse(
+        lines, ["StoreID", "TransactionType", "InvoiceID", month],
         F.sum(amount).alias("_value"),
         F.sum(F.abs(amount)).alias("_size"),
         F.min("Date").alias("_first"),

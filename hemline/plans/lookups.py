@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from hemline import schemas
+from hemline.operators.grouping import collapse
 
 
 def product_sales(products: DataFrame, lines: DataFrame) -> DataFrame:
@@ -16,8 +17,9 @@ def product_sales(products: DataFrame, lines: DataFrame) -> DataFrame:
     Lines collapse to (product, customer) before buyers are counted, so a
     product with very many lines is spread over its customers.
     """
-    pairs = lines.groupBy("ProductID", "CustomerID").agg(
-        F.sum("Quantity").alias("_quantity"), F.sum("LineTotalUSD").alias("_revenue")
+    pairs = collapse(
+        lines, ["ProductID", "CustomerID"],
+        F.sum("Quantity").alias("_quantity"), F.sum("LineTotalUSD").alias("_revenue"),
     )
     sales = pairs.groupBy("ProductID").agg(
         F.sum("_quantity").alias("_quantity"),

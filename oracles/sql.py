@@ -594,6 +594,13 @@ _PLAIN: dict[str, str] = {
     "invoice_fact": _INVOICES,
     "fx_invoice": """SELECT InvoiceID, Date, Currency, CAST(InvoiceTotal AS DOUBLE) AS InvoiceTotal,
         CAST(InvoiceTotalUSD AS DOUBLE) AS InvoiceTotalUSD FROM invoices""",
+    "fx_missing": f"""SELECT {_MONTH.format(d='Date')} AS Month, Currency, count(*) AS row_count
+        FROM dims WHERE (Currency IS NULL OR Currency <> 'USD') AND NOT EXISTS (SELECT 1 FROM rates
+            WHERE RateDate = {_MONTH.format(d='Date')} AND BaseCurrency = Currency
+            AND TargetCurrency = 'USD') GROUP BY 1, 2""",
+    "sql_over_tables": """SELECT l.Country, s.NumberOfEmployees, count(*) AS LineCount
+        FROM dims l LEFT JOIN s_stores s ON l.StoreID = s.StoreID
+        WHERE l.TransactionType = 'Return' GROUP BY 1, 2""",
     "line_items_dims": "SELECT InvoiceID, Line, ProductID, Category, SubCategory, StoreID, Country, City "
                        "FROM dims",
     "fx_line": """SELECT InvoiceID, Line, Date, Currency, CAST(LineTotal AS DOUBLE) AS LineTotal,

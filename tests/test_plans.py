@@ -69,3 +69,24 @@ def test_same_result_without_broadcasts(spark, data, shop):
         assert result() == usual
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name,key", [("product_sales", "ProductID"), ("store_metrics", "StoreID")])
+def test_grouping_does_not_inherit_a_join_partitioning(spark, data, name, key):
+    """Between the join on a key and the grouping below it there is an exchange."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = entry.Shop(spark, data)
+        lines = entry.usd_lines(t)
+        # the join on the key comes last
+        lines = (lines.drop("Category").join(t.products.select("ProductID", "Category"), "ProductID")
+                 if key == "ProductID" else
+                 lines.drop("City").join(t.places.select("StoreID", "City"), "StoreID"))
+        df = (entry.lookups.product_sales(t.products, lines) if key == "ProductID"
+              else entry.gold.store_metrics(lines))
+        steps = [x for x in plan(df).splitlines() if "HashAggregate" in x or "Exchange" in x]
+        first = next(i for i, x in enumerate(steps) if "keys=[_groupingexpression" in x and "partial_" in x)
+        assert "Exchange hashpartitioning(_groupingexpression" in steps[first - 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
