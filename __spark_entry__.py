@@ -369,14 +369,26 @@ def _registered(build: Callable[[Shop], DataFrame]) -> Callable[[SparkSession, s
     return lambda spark, folder: _comparable(build(Shop(spark, folder.rstrip("/"))))
 
 
+try:  # the operators for training data live in folders of their own and may be left out
+    import corpus_pipeline
+    from hemline.llm.entry import QUERIES as LLM_QUERIES
+    from hemline.llm.oracles import ORACLES as LLM_ORACLES
+
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_ORACLES = LLM_ORACLES | {"pipeline": corpus_pipeline.ORACLE_SQL}
+except ImportError:
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: contribution margin by product category."""
     return queries()["margin_by_category"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _registered(build) for name, build in QUERIES.items()}
+    return {name: _registered(build) for name, build in QUERIES.items()} | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | LLM_ORACLES
