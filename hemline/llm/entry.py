@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hemline.llm import cuckoo, mixing, packing
+from hemline.llm import cuckoo, mixing, packing, secrets
 from hemline.llm.common import read_table
 
 
@@ -26,8 +26,13 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cuckoo.exact_groups(read_table(spark, folder, "documents"))
 
 
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secrets_report(read_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_concatenate_and_cut": op1_concatenate_and_cut,
     "op3_source_mixing": op3_source_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_secret_scan": op9_secret_scan,
 }

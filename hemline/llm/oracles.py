@@ -55,3 +55,50 @@ ORACLES = {
     "op3_source_mixing": MIXING,
     "op8_exact_dedup": EXACT,
 }
+
+
+def _secrets() -> str:
+    from hemline.llm import secrets as S
+
+    quote = lambda p: p.replace("'", "''")
+    kinds = " UNION ALL ".join(
+        f"""SELECT row, {k} AS kind, unnest(list_transform(string_split_regex(text, '{quote(p)}'), lambda x: length(x))) AS gap,
+               unnest(regexp_extract_all(text, '{quote(p)}', 0)) AS whole,
+               unnest(regexp_extract_all(text, '{quote(p)}', {g})) AS value,
+               generate_subscripts(string_split_regex(text, '{quote(p)}'), 1) AS pos
+        FROM d WHERE regexp_matches(text, '{quote(p)}')"""
+        for k, (p, g) in enumerate([(S.ASSIGN, 2), (S.ACCESS, 0), (S.HEX, 0), (S.CANDIDATE, 0)]))
+    allowed = " AND ".join(f"NOT regexp_matches(value, '{quote(p)}')" for p in S.ALLOW)
+    w, n = S.WINDOW, len(S.KINDS)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({kinds}),
+g AS (SELECT *, coalesce(length(whole), 0) AS n,
+             sum(gap + coalesce(length(whole), 0)) OVER (PARTITION BY row, kind ORDER BY pos) AS stop FROM f),
+c AS (SELECT row, stop - n AS start, value FROM g
+      WHERE kind = 3 AND whole IS NOT NULL AND regexp_matches(value, '[0-9]')
+        AND regexp_matches(value, '[A-Za-z]') AND {allowed}),
+o AS (SELECT DISTINCT value FROM c),
+win AS (SELECT value, i, substr(value, i, {w}) AS text
+        FROM (SELECT value, unnest(range(1, length(value) - {w} + 2)) AS i FROM o)),
+ch AS (SELECT value, i, substr(text, j, 1) AS a, count(*) AS k
+       FROM (SELECT *, unnest(range(1, {w} + 1)) AS j FROM win) GROUP BY ALL),
+sm AS (SELECT value, i, sum(({S.BITS})[k + 1]) AS s FROM ch GROUP BY ALL),
+hot AS (SELECT value, min(i) AS first, max(i) + {w - 1} AS last FROM sm
+        WHERE s <= CASE WHEN regexp_matches(value, '{S.HEX_CLASS}') THEN {S.most_sum(S.HEX_BITS)}
+                        ELSE {S.most_sum(S.BASE64_BITS)} END GROUP BY value),
+sp AS (SELECT row, kind, (stop - n)::BIGINT AS start, stop::BIGINT AS stop FROM g
+       WHERE (kind = 0 AND length(value) >= {S.LEAST_VALUE}) OR (kind IN (1, 2) AND whole IS NOT NULL)
+       UNION ALL
+       SELECT row, 3, (start + first - 1)::BIGINT, (start + last)::BIGINT FROM c JOIN hot USING (value)),
+t AS (SELECT row, kind, start, stop,
+             ({list(S.KINDS)})[kind + 1] || ':' || start || ':' || stop AS txt FROM sp)
+SELECT doc_id, count(kind) FILTER (kind = 0) AS n_assign, count(kind) FILTER (kind = 1) AS n_access,
+       count(kind) FILTER (kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(txt, ',' ORDER BY start, kind, stop) FILTER (kind < {n - 1}), '')) AS base_sha256,
+       coalesce(string_agg(txt, ',' ORDER BY start, kind, stop), '') AS spans
+FROM d LEFT JOIN t USING (row) GROUP BY row, doc_id
+"""
+
+
+ORACLES["op9_secret_scan"] = _secrets()
