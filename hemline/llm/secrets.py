@@ -140,8 +140,11 @@ def secrets_report(docs: DataFrame, **options) -> DataFrame:
     """One row per document: counts by kind, digest of the base spans, all spans as text."""
     found = scan(docs, **options)
     base = F.filter("spans", lambda s: s["kind"] < 3)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-              for k, kind in enumerate(KINDS[:3])]
+
+    def of(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [of(k).alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
     return found.select("doc_id", *counts, F.sha2(_text_of(base), 256).alias("base_sha256"),
                         _text_of(F.col("spans")).alias("spans"))
 
