@@ -121,9 +121,12 @@ class Block:
     def __len__(self) -> int:
         return len(self.at) - 1
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end of each word, and the number of words before each row."""
-        ink = ~SPACE[self.data]
+    def words(self, ink_table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of each word, and the number of words before each row.
+
+        A word is a run of bytes that are not white space, or that the table marks.
+        """
+        ink = ~SPACE[self.data] if ink_table is None else ink_table[self.data]
         n = len(ink)
         begins, ends = ink.copy(), ink.copy()
         begins[1:] &= ~ink[:-1]

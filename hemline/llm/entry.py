@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hemline.llm import cuckoo, mixing, packing, secrets
+from hemline.llm import cuckoo, mixing, packing, secrets, toxicity
 from hemline.llm.common import read_table
 
 
@@ -22,6 +22,10 @@ def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op6_recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cuckoo.exact_groups(read_table(spark, folder, "documents"))
 
@@ -33,6 +37,7 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_concatenate_and_cut": op1_concatenate_and_cut,
     "op3_source_mixing": op3_source_mixing,
+    "op6_recurrent_toxicity": op6_recurrent_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
 }
