@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hemline.llm import cuckoo, mixing, packing, secrets, toxicity
+from hemline.llm import cuckoo, mixing, packing, quality, secrets, toxicity
 from hemline.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op1_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op2_passage_attention(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_copies(read_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target",
@@ -36,6 +40,7 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_concatenate_and_cut": op1_concatenate_and_cut,
+    "op2_passage_attention": op2_passage_attention,
     "op3_source_mixing": op3_source_mixing,
     "op6_recurrent_toxicity": op6_recurrent_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
