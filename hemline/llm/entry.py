@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hemline.llm import cuckoo, mixing, packing, quality, secrets, toxicity
+from hemline.llm import cuckoo, mixing, packing, projections, quality, secrets, toxicity
 from hemline.llm.common import read_table
 
 
@@ -38,6 +38,10 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets_report(read_table(spark, folder, "documents"))
 
 
+def op10_stable_projections(spark: SparkSession, folder: str) -> DataFrame:
+    return projections.nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_concatenate_and_cut": op1_concatenate_and_cut,
     "op2_passage_attention": op2_passage_attention,
@@ -45,4 +49,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_recurrent_toxicity": op6_recurrent_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
+    "op10_stable_projections": op10_stable_projections,
 }
