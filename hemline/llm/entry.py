@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hemline.llm import cuckoo, mixing, packing, projections, quality, secrets, toxicity
+from hemline.llm import cuckoo, mixing, ngram_join, packing, projections, quality, secrets, toxicity
 from hemline.llm.common import read_table
 
 
@@ -30,6 +30,10 @@ def op6_recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_components(read_table(spark, folder, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cuckoo.exact_groups(read_table(spark, folder, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_passage_attention": op2_passage_attention,
     "op3_source_mixing": op3_source_mixing,
     "op6_recurrent_toxicity": op6_recurrent_toxicity,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_stable_projections": op10_stable_projections,
