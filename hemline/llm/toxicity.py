@@ -37,7 +37,7 @@ VOCABULARY = 4096
 LEAST_DOCUMENTS = 3
 PER_CLASS = 1000
 WINDOWS_EACH = 16
-EPOCHS = 3
+EPOCHS = 5
 THRESHOLD = 0.3
 DIVISOR, HELD_OUT = 4, 2
 
@@ -289,7 +289,6 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed:
     row, begin, n = row[chosen], begin[chosen], n[chosen]
     bounds = np.searchsorted(row, np.arange(len(y) + 1))
     adam = Adam(model.p, 0.01)
-    balance = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6)) ** 0.5
     for epoch in range(epochs):
         adam.rate = 0.01 * (1 - 0.9 * epoch / epochs)
         docs = rng.permutation(len(y))
@@ -315,7 +314,7 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed:
             total = np.add.reduceat(e, starts)
             count = np.bincount(part)
             doc_logit = top + np.log(total / count) * 0.5
-            d_doc = (_sigmoid(doc_logit) - y[mine]) * balance[mine] / len(mine)
+            d_doc = (_sigmoid(doc_logit) - y[mine]) / len(mine)
             # half the maximum, half the soft maximum
             hard = (logits == top[part]).astype(np.float32)
             d = (d_doc[part] * (0.5 * hard + 0.5 * e / total[part])).astype(np.float32)
