@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hemline.llm import cuckoo, mixing, ngram_join, packing, projections, quality, recompression, secrets, toxicity
+from hemline.llm import cuckoo, mixing, ngram_join, packing, projections, quality, recompression, secrets, suffix_repeats, toxicity
 from hemline.llm.common import read_table
 
 
@@ -26,6 +26,10 @@ def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op4_suffix_factors(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_repeats.drop_repeats(read_table(spark, folder, "documents"))
+
+
 def op5_recompression(spark: SparkSession, folder: str) -> DataFrame:
     return recompression.drop_repeats(read_table(spark, folder, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_concatenate_and_cut": op1_concatenate_and_cut,
     "op2_passage_attention": op2_passage_attention,
     "op3_source_mixing": op3_source_mixing,
+    "op4_suffix_factors": op4_suffix_factors,
     "op5_recompression": op5_recompression,
     "op6_recurrent_toxicity": op6_recurrent_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
