@@ -6,27 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hemline.llm import cuckoo, mixing, packing
+from hemline.llm import cuckoo, mixing, ngram_join, packing, toxicity
 from hemline.llm.common import read_table, stage
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that operator 6, fitted on the labelled documents, scores below 0.3."""
+    return toxicity.clean_documents(docs, read_table(spark, sf_dir, "labels"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the one that operator 8 keeps."""
     return cuckoo.unique_documents(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of operator 7, the document with the smallest id."""
+    return ngram_join.one_of_each(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as operator 3 takes it."""
     return mixing.mixture(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of operator 1."""
+    """The pieces of operator 1, in windows of 2048 ids."""
     return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
+    ("ngram_jaccard_join", drop_near_copies),
     ("mixing", mix),
     ("packing", pack),
 ]
