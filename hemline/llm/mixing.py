@@ -58,9 +58,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
          - F.coalesce(F.sum("weight").over(below), F.lit(0))).alias("open_weight"))
     level = (F.col("all_size") * F.lit(float(share)) - F.col("full_size") * F.lit(float(most))) \
         / F.col("open_weight")
-    # full sources come first in this order; the first that is not full has the level of all others
+    # full sources come first in this order; the first that is not full has the level of all
+    # others, and those after it, which take it for full, a lower one
     filled = levels.withColumn("level", level).withColumn(
-        "at", F.min(F.when(F.col("need") > F.col("level"), F.col("level"))).over(everything))
+        "at", F.max(F.when(F.col("need") > F.col("level"), F.col("level"))).over(everything))
     target = F.least(F.col("source_size") * F.lit(float(most)),
                      F.coalesce(F.col("weight") * F.col("at"), F.lit(float("inf"))))
     return filled.select("source", "source_size", target.alias("target"))
@@ -84,8 +85,15 @@ def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     totals = stage(totals, "mix-groups")
     by_source = totals.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = stage(source_targets(by_source, weights, share, most), "mix-targets")
-    running = Window.partitionBy("source").orderBy("bits", "step", "salt")
-    starts = totals.select(*group, (F.sum("n").over(running) - F.col("n")).alias("before"))
+    # salts are summed within their size class, and classes (a few hundred) within their source
+    classes = totals.groupBy("source", "bits", "step").agg(F.sum("n").alias("n"))
+    by_class = Window.partitionBy("source").orderBy("bits", "step")
+    classes = classes.select("source", "bits", "step", (F.sum("n").over(by_class) - F.col("n")).alias("lower"))
+    by_salt = Window.partitionBy("source", "bits", "step").orderBy("salt")
+    inside = totals.select(*group, (F.sum("n").over(by_salt) - F.col("n")).alias("before"))
+    starts = inside.join(classes, inside["source"].eqNullSafe(classes["source"])
+                         & (inside["bits"] == classes["bits"]) & (inside["step"] == classes["step"])).select(
+        *[inside[c] for c in group], (F.col("before") + F.col("lower")).alias("before"))
     same = [rows[c].eqNullSafe(starts[c]) if c == "source" else rows[c] == starts[c] for c in group]
     within = Window.partitionBy("source", "bits", "step", "salt").orderBy("size", "doc_id")
     placed = rows.join(starts, same).select(*[rows[c] for c in rows.columns], "before") \

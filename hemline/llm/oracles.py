@@ -21,7 +21,7 @@ l AS (
 t AS (
     SELECT source, source_size,
            least(source_size * 2.0::DOUBLE,
-                 coalesce(weight * min(CASE WHEN need > level THEN level END) OVER (), 'inf'::DOUBLE)) AS target
+                 coalesce(weight * max(CASE WHEN need > level THEN level END) OVER (), 'inf'::DOUBLE)) AS target
     FROM l),
 b AS (SELECT *, length(bin(size)) AS bits, ((coalesce(doc_id, 0) % 256) + 256) % 256 AS salt FROM d),
 p AS (
