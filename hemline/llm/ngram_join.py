@@ -35,12 +35,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hemline.llm.common import LOWER, Block, blocks, mix, prefix_hash, ship, span_hash, stage
+from hemline.llm.common import LOWER, Block, blocks, mix, prefix_hash, release, ship, span_hash, stage
 from hemline.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75
-GROUPS = 64
+GROUPS = 256
+#: A count of this size or more is stored as this and taken as endless, which keeps bounds above overlaps.
+FULL = 255
+_ENDLESS = np.uint32(1 << 31)
+#: Buckets of fewer nodes are compared pair by pair, larger ones through an R-tree.
+SMALL = 48
 CELLS = 1 << 18
 FANOUT = 16
 MEMBERS = 2000
@@ -73,10 +78,23 @@ def set_keys(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def points(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Counts by group, one row per set."""
+    """Counts by group in one byte each, one row per set."""
     row = np.repeat(np.arange(len(at) - 1), np.diff(at))
     group = (hashes >> np.uint64(13)).astype(np.int64) % GROUPS
-    return np.bincount(row * GROUPS + group, minlength=(len(at) - 1) * GROUPS).reshape(-1, GROUPS).astype(np.uint32)
+    counts = np.bincount(row * GROUPS + group, minlength=(len(at) - 1) * GROUPS)
+    return np.minimum(counts, FULL).astype(np.uint8).reshape(-1, GROUPS)
+
+
+def from_bytes(column: pa.Array) -> np.ndarray:
+    """Points of a binary column."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
+    return flat
+
+
+def bounds_of(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Upper bounds of the overlaps of rows of x and y (bytes): sums of coordinate minima."""
+    least = np.minimum(x, y)
+    return np.where((least == FULL).any(1), np.int64(_ENDLESS), least.sum(1, dtype=np.int64))
 
 
 def cells_of(hashes: np.ndarray) -> np.ndarray:
@@ -89,7 +107,7 @@ def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 class RTree:
-    """Boxes over count vectors, packed by size and leading coordinates, FANOUT to a node."""
+    """Boxes over count vectors (bytes), packed by size and leading coordinates, FANOUT to a node."""
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray):
         self.order = np.lexsort((vectors[:, 1], vectors[:, 0], sizes))
@@ -107,8 +125,7 @@ class RTree:
         nodes = np.arange(len(self.levels[level][0]))
         while True:
             high, least, most = self.levels[level]
-            bound = np.minimum(high[nodes], vector).sum(1)
-            near = (bound >= needed(least[nodes].astype(np.int64), size)) \
+            near = (bounds_of(high[nodes], vector) >= needed(least[nodes].astype(np.int64), size)) \
                 & (100 * most[nodes] >= PERCENT * size) & (PERCENT * least[nodes] <= 100 * size)
             nodes = nodes[near]
             if level == 0:
@@ -277,9 +294,9 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            pa_, pb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, GROUPS) for i in (4, 5))
+            x, y = from_bytes(batch.column(4)), from_bytes(batch.column(5))
             na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            keep = pa.array(np.minimum(pa_, pb).sum(1) >= needed(na, nb))
+            keep = pa.array(bounds_of(x, y) >= needed(na, nb))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
     return both.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
@@ -295,7 +312,7 @@ def remaining(mixed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame
     point = nodes.groupBy("key").agg(F.first("point").alias("point"))
     rows = rows.join(open_.select("token"), "token").join(point, "key").select("token", "n", "key", "component", "point")
 
-    def join_run(n: np.ndarray, key: np.ndarray, comp: np.ndarray, vectors: np.ndarray) -> list[np.ndarray]:
+    def through_tree(n, key, comp, vectors) -> list[np.ndarray]:
         if len(set(comp.tolist())) < 2:
             return []
         tree, out = RTree(vectors, n.astype(np.int64)), []
@@ -306,31 +323,52 @@ def remaining(mixed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame
                 out.append(np.stack([np.minimum(key[near], key[i]), np.maximum(key[near], key[i])]))
         return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
+    def pair_by_pair(n, key, comp, vectors, run) -> list[np.ndarray]:
+        """All pairs inside short runs; ``run`` numbers them, the rows of one stand together."""
+        first = np.searchsorted(run, run, side="left")
+        before = np.arange(len(run)) - first
+        j = np.repeat(np.arange(len(run)), before)
+        i = first[j] + np.arange(len(j)) - np.repeat(np.cumsum(before) - before, before)
+        low, high = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
+        ok = (comp[i] != comp[j]) & (100 * low >= PERCENT * high)
+        i, j, need = i[ok], j[ok], needed(low[ok], high[ok])
+        out = []
+        for lo in range(0, len(i), 1 << 15):
+            part = slice(lo, lo + (1 << 15))
+            near = bounds_of(vectors[i[part]], vectors[j[part]]) >= need[part]
+            a, b = key[i[part][near]], key[j[part][near]]
+            out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        return out
 
-        def close() -> list[np.ndarray]:
-            return join_run(*[np.concatenate(x) for x in zip(*[h[1:] for h in held])]) if held else []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list | None = None  # rows of the last token so far
+
+        def close(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            token = cols[0]
+            opens = np.append(True, token[1:] != token[:-1])
+            at = np.flatnonzero(opens)
+            size = np.diff(np.append(at, len(token)))
+            number = np.cumsum(opens) - 1
+            short = size[number] <= SMALL
+            found = pair_by_pair(*[c[short] for c in cols[1:]], number[short])
+            for k in np.flatnonzero(size > SMALL):
+                found += through_tree(*[c[at[k]:at[k] + size[k]] for c in cols[1:]])
+            if found:
+                a, b = np.unique(np.concatenate(found, 1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token, n, key, comp = (batch.column(i).to_numpy() for i in range(4))
-            vectors = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(-1, GROUPS)
-            edge = np.flatnonzero(np.diff(token)) + 1
-            out = []
-            for lo, hi in zip(np.append(0, edge), np.append(edge, len(token))):
-                if held and held[0][0] != token[lo]:
-                    out += close()
-                    held = []
-                held.append((token[lo], n[lo:hi].copy(), key[lo:hi].copy(), comp[lo:hi].copy(), vectors[lo:hi]))
-            if out:
-                a, b = np.concatenate(out, 1)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-        out = close()
-        if out:
-            a, b = np.concatenate(out, 1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            cols = [batch.column(i).to_numpy() for i in range(4)] + [from_bytes(batch.column(4))]
+            if held:
+                cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            held = [c[cut:] for c in cols]
+            if cut:
+                yield from close([c[:cut] for c in cols])
+        if held:
+            yield from close(held)
 
     dealt = rows.repartition("token").sortWithinPartitions("token")
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -342,9 +380,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     nodes, counts = nodes_and_counts(rows)
     mixed = stage(buckets(rows, counts), "buckets")
+    release(docs.sparkSession)
     stars = mixed.filter("leader != key").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
     links = stage(verify(rows, nodes, stage(bounded(stars, nodes), "star-pairs")), "star-links")
+    release(docs.sparkSession)
     found = stage(components(links), "star-components")
+    release(docs.sparkSession)
     more = stage(verify(rows, nodes, stage(remaining(mixed, nodes, found), "open-pairs")), "open-links")
     if not more.isEmpty():
         found = stage(components(links.unionByName(more)), "components")

@@ -25,8 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hemline.llm.common import Block, blocks, mix, prefix_hash, ship, span_hash, stage
-from hemline.llm.repeats import (anchor_rows, contexts, keyed, owners, release, shared_anchors, shared_rows,
+from hemline.llm.common import Block, blocks, mix, prefix_hash, release, ship, span_hash, stage
+from hemline.llm.repeats import (anchor_rows, contexts, keyed, owners, shared_anchors, shared_rows,
                                  with_texts)
 
 WINDOW = 20
