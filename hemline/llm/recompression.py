@@ -6,8 +6,8 @@ runs and pairs are hashes of their parts and the halves are bits of names, so al
 a Spark round name alike without a dictionary. Whether symbols are joined depends on them
 and their neighbours alone; the words a symbol depends on are kept with it, and a symbol
 is safe in a window that holds all of them. Equal windows have equal safe symbols at equal
-places: the one with the least name is the window's anchor (a window without a safe symbol
-is its own). Names that stand in several places reveal repeats; contexts and window hashes
+places: the one with the least hash of its name and its words is the window's anchor (a
+window without a safe symbol is its own). Names that stand in several places reveal repeats; contexts and window hashes
 verify them.
 
 A text's words are runs of visible characters, unchanged. Null text has none. Of copies
@@ -121,9 +121,12 @@ def window_anchors(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, .
     hi = np.searchsorted(high, first + WINDOW, side="right")
     has = hi > lo
     anchor = np.full(len(row), -1)
-    if has.any():
-        anchor[has] = least_in(mix(names), lo[has], hi[has])
     prefix = prefix_hash(words)
+    # a safe symbol's name goes with all the words it depends on, which the window holds
+    with np.errstate(over="ignore"):
+        names = mix(names + span_hash(prefix, np.maximum(low, 0), np.clip(high, 0, len(words))))
+    if has.any():
+        anchor[has] = least_in(names, lo[has], hi[has])
     # consecutive windows of one anchor are one row; windows without one stand alone
     head = np.ones(len(row), bool)
     head[1:] = (anchor[1:] != anchor[:-1]) | (anchor[1:] < 0) | (row[1:] != row[:-1])
