@@ -152,17 +152,17 @@ def secrets_report(docs: DataFrame, **options) -> DataFrame:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]",
            **options) -> DataFrame:
     """The documents with every span replaced by a mark; ids must be unique."""
-    found = scan(docs, id_col, text_col, **options).select(F.col("doc_id").alias("__id"), "spans")
+    found = scan(docs, id_col, text_col, **options).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
     joined = docs.join(found, docs[id_col].eqNullSafe(F.col("__id")))
     text = docs[text_col]
     # overlapping spans join: each keeps only what lies beyond the farthest stop so far
     done = F.aggregate(
-        "spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
+        "__spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda acc, s: F.when(s["stop"] <= acc["at"], acc).otherwise(F.struct(
             F.concat(acc["out"], F.when(s["start"] >= acc["at"], F.concat(
                 F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
                 F.lit(mark))).otherwise(F.lit(""))).alias("out"),
             s["stop"].alias("at"))))
-    new = F.when(F.size("spans") == 0, text).otherwise(
+    new = F.when(F.size("__spans") == 0, text).otherwise(
         F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text))))
     return joined.select(*[new.alias(c) if c == text_col else docs[c] for c in docs.columns])
