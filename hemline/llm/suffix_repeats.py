@@ -35,7 +35,10 @@ from hemline.llm.repeats import (anchor_rows, contexts, keyed, owners, shared_an
 
 LENGTH = 400
 GRAM = 48
-CHUNK = 1 << 21
+#: Bytes of contexts in one suffix order; its arrays take about sixty times that.
+CHUNK = 5 << 20
+#: Smaller names gather up to this size.
+GATHER = 1 << 20
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -83,15 +86,16 @@ def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) ->
     rank = np.zeros(n, np.uint64)
     for k in range(8):
         rank = (rank << np.uint64(8)) | padded[k:k + n]
-    rank = np.unique(rank, return_inverse=True)[1].astype(np.uint64)
+    rank = np.unique(rank, return_inverse=True)[1].astype(np.uint32)
     have = 8
     while have < length:
         step = min(have, length - have)
         final = have + step == length
         at = starts if final else np.arange(n)
-        low = np.zeros(n + length, np.uint64)
+        low = np.zeros(n + length, np.uint32)
         low[:n] = rank
-        rank = np.unique((low[at] << np.uint64(32)) | low[at + step], return_inverse=True)[1].astype(np.uint64)
+        rank = np.unique((low[at].astype(np.uint64) << np.uint64(32)) | low[at + step],
+                         return_inverse=True)[1].astype(np.uint32)
         have += step
     return rank
 
@@ -175,7 +179,7 @@ def _named(rows: list[tuple], length: int) -> pa.RecordBatch:
 
 
 def _edges(batches: Iterator[pa.RecordBatch], length: int, first_stays: bool) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by name. Whole names gather up to CHUNK bytes; a larger name is named out."""
+    """Rows come sorted by name. Whole names gather to one suffix order; a name over CHUNK is named out."""
     ready: list[tuple] = []
     group: list[tuple] = []
     ready_bytes = group_bytes = 0
@@ -183,15 +187,15 @@ def _edges(batches: Iterator[pa.RecordBatch], length: int, first_stays: bool) ->
     for batch in batches:
         for r in zip(*[c.to_pylist() for c in batch.columns]):
             if group and r[0] != group[0][0]:
+                if ready and ready_bytes + group_bytes > GATHER:
+                    yield _marks(ready, length, first_stays)
+                    ready, ready_bytes = [], 0
                 if large:
                     yield _named(group, length)
                 else:
                     ready += group
                     ready_bytes += group_bytes
                 group, group_bytes, large = [], 0, False
-                if ready_bytes >= CHUNK:
-                    yield _marks(ready, length, first_stays)
-                    ready, ready_bytes = [], 0
             elif group and r[1:4] == group[-1][1:4]:
                 continue
             group.append(r)
@@ -200,11 +204,13 @@ def _edges(batches: Iterator[pa.RecordBatch], length: int, first_stays: bool) ->
                 large = True
                 yield _named(group[:-1], length) if len(group) > 1 else _named(group, length)
                 group, group_bytes = (group[-1:], len(r[5])) if len(group) > 1 else ([], 0)
-    if group:
-        if large:
-            yield _named(group, length)
-        else:
-            ready += group
+    if ready and ready_bytes + group_bytes > GATHER:
+        yield _marks(ready, length, first_stays)
+        ready = []
+    if group and large:
+        yield _named(group, length)
+    elif group:
+        ready += group
     if ready:
         yield _marks(ready, length, first_stays)
 
