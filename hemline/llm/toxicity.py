@@ -239,36 +239,52 @@ def block_logits(model: Network, block: Block) -> np.ndarray:
     return np.maximum.reduceat(logits, np.flatnonzero(np.diff(row, prepend=-1)))
 
 
-def gram_odds(t: Tokens, token: np.ndarray, seen: np.ndarray, n_docs: int, y: np.ndarray, odds) -> np.ndarray:
-    """Log-odds of every n-gram row, counted once for each document that has it."""
-    first = np.searchsorted(seen, np.arange(len(t.hashes)) * n_docs)
-    last = np.searchsorted(seen, (np.arange(len(t.hashes)) + 1) * n_docs)
-    count = (last - first)[token]
-    doc = seen[np.repeat(first[token], count) + np.arange(int(count.sum()))
-               - np.repeat(np.cumsum(count) - count, count)] % n_docs
-    both = np.unique(np.repeat(t.grams, count) * n_docs + doc)
-    bad = np.bincount(both // n_docs, y[both % n_docs], GRAMS)
-    return odds(bad, np.bincount(both // n_docs, minlength=GRAMS))
+def tokens_of_all(texts: list[str | None]) -> Tokens:
+    """The tokens of many documents, gathered block by block."""
+    data = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    parts = [tokens_of(block) for block in blocks(iter([data]))]
+    hashes, first, code = np.unique(np.concatenate([t.hashes for t in parts]), return_index=True, return_inverse=True)
+    at = np.concatenate([t.at for t in parts])
+    size = np.concatenate([np.diff(np.append(t.at, len(t.grams))) for t in parts])
+    shift = np.repeat(np.cumsum([0] + [len(t.grams) for t in parts[:-1]]), [len(t.at) for t in parts])
+    at, size = (at + shift)[first], size[first]
+    new_at = np.cumsum(size) - size
+    grams = np.concatenate([t.grams for t in parts])[np.repeat(at - new_at, size) + np.arange(int(size.sum()))]
+    before = np.cumsum([0] + [len(t.hashes) for t in parts[:-1]])
+    where = np.concatenate([code[b + t.where] for b, t in zip(before, parts)])
+    seen = np.cumsum([0] + [len(t.where) for t in parts[:-1]])
+    starts = np.concatenate([[0]] + [b + t.before[1:] for b, t in zip(seen, parts)])
+    return Tokens(hashes, grams, new_at, where, starts.astype(np.int64))
+
+
+def document_counts(t: Tokens, y: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of words and of n-gram rows: documents that have them, and those labelled 1."""
+    words, grams = np.zeros((2, len(t.hashes))), np.zeros((2, GRAMS))
+    size = np.diff(np.append(t.at, len(t.grams)))
+    for i, label in enumerate(y):
+        own = np.unique(t.where[t.before[i]:t.before[i + 1]])
+        n = size[own]
+        rows = np.unique(t.grams[np.repeat(t.at[own] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))])
+        words[0, own] += 1
+        words[1, own] += label
+        grams[0, rows] += 1
+        grams[1, rows] += label
+    return words[0], words[1], grams[0], grams[1]
 
 
 def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Network:
     """Fit on documents: the loss is that of a soft maximum over a document's windows."""
     y = np.asarray(labels, np.float32)
-    data = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
-    whole = next(blocks(iter([data]), limit=1 << 62), None)
-    if whole is None or len(set(labels)) < 2:
+    if not len(y) or len(set(labels)) < 2:
         return Network(np.zeros(0, np.uint64))
     rng = np.random.default_rng(seed)
-    t = tokens_of(whole)
+    t = tokens_of_all(texts)
     # words in enough documents, the most frequent first, ties by hash
-    owner = np.repeat(np.arange(len(whole)), np.diff(t.before))
-    seen = np.unique(t.where.astype(np.int64) * len(whole) + owner)
-    documents = np.bincount(seen // len(whole), minlength=len(t.hashes))
+    documents, toxic, with_gram, toxic_gram = document_counts(t, y)
     common = np.flatnonzero(documents >= LEAST_DOCUMENTS)
     common = common[np.lexsort((t.hashes[common], -documents[common]))][:VOCABULARY]
     model = Network(np.sort(t.hashes[common]), seed)
     words = model.word_rows(t.hashes)
-    toxic = np.bincount(seen // len(whole), y[seen % len(whole)], len(t.hashes))
     share = float(y.mean())
 
     def odds(bad, all_):
@@ -277,8 +293,7 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed:
 
     model.p["words"][words, 0] = odds(toxic, documents)
     model.p["words"][0] = 0
-    token = np.repeat(np.arange(len(t.hashes)), np.diff(np.append(t.at, len(t.grams))))
-    model.p["grams"][:, 1] = gram_odds(t, token, seen, len(whole), y, odds)
+    model.p["grams"][:, 1] = odds(toxic_gram, with_gram)
     n_grams = np.diff(np.append(t.at, len(t.grams)))
     row, begin, n = windows_of(t.before)
     # a bounded number of windows of each document
