@@ -509,3 +509,11 @@ def test_pipeline(spark, data):
     pieces = corpus_pipeline.run(spark, data)
     total, last = pieces.agg(F.sum("length"), F.max("sequence_id")).first()
     assert last == (total - 1) // packing.WINDOW and pieces.count() > 0
+
+
+@pytest.mark.parametrize("name", ["op3_source_mixing", "op8_exact_dedup", "op9_secret_scan"])
+def test_sql(spark, data, name):
+    from hemline.llm.oracles import ORACLES
+    from tests.compare import connect, differences
+
+    assert differences(entry.QUERIES[name](spark, data), connect(data), ORACLES[name]) is None
