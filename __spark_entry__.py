@@ -6,7 +6,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -19,7 +19,7 @@ from hemline.functions.text import default_nulls, standardize_columns  # noqa: E
 from hemline.operators import joins, quality  # noqa: E402
 from hemline.plans import gold, lookups, reports, silver  # noqa: E402
 from hemline.sources import delimited, star_retail, tables  # noqa: E402
-from hemline.sources.serving import to_serving  # noqa: E402
+from hemline.sources.serving import fitting_rows, rejected_values  # noqa: E402
 from hemline.sources.staging import stage, staging_root  # noqa: E402
 from oracles.sql import ORACLES  # noqa: E402
 
@@ -47,8 +47,16 @@ class Shop:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        # the adapter's rows are distinct, see the key in its Line column
-        return silver.clean_transactions(self.bronze("transactions"))
+        return silver.transactions(self.bronze("transactions"))
+
+    @cached_property
+    def span(self) -> DataFrame:
+        """First and last day of the lines, from the orders alone."""
+        return self.bronze("month_bounds")
+
+    @cached_property
+    def days(self) -> DataFrame:
+        return self.bronze("transactions").select(F.to_date("Timestamp").alias("Date"))
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -92,9 +100,14 @@ class Shop:
     @cached_property
     def lines(self) -> DataFrame:
         return gold.line_items(
-            self.transactions, self.places, self.products, self.discounts, self.rates
+            self.transactions, self.places, self.products, self.discounts, self.rates, self.span
         )
 
+    @cached_property
+    def line_table(self) -> DataFrame:
+        return gold.invoice_line_items(
+            self.transactions, self.places, self.products, self.discounts, self.rates, self.span)
+
     @cached_property
     def metrics(self) -> DataFrame:
         return stage(gold.customer_metrics(self.lines), "customer-metrics")
@@ -173,12 +186,8 @@ def twice(t: Shop) -> DataFrame:
 
 
 def discount_pattern_check(t: Shop) -> DataFrame:
-    promotions = t.bronze("discounts")
-    no_group = F.col("Category").isNull() | F.col("SubCategory").isNull()
     # the adapter's store-wide promotions use its two highest values
-    return quality.same_rows(
-        promotions.filter(no_group), promotions.filter(F.col("Discount").isin(0.09, 0.1))
-    )
+    return quality.store_wide_rule(t.bronze("discounts"), (0.09, 0.1))
 
 
 def translated(t: Shop) -> DataFrame:
@@ -194,6 +203,38 @@ def usd_lines(t: Shop) -> DataFrame:
     return joins.to_usd(t.line_dims, t.rates, "LineTotal", "LineTotalUSD")
 
 
+def rates_extended(t: Shop) -> DataFrame:
+    """Rates stored for the months before 1995, then extended by those that are missing."""
+    path = t.path("rates")
+    tables.write_table(t.rates.filter("RateDate < DATE'1995-01-01'"), path)
+    return tables.extend_table(t.spark, path, t.rates, ["RateDate", "BaseCurrency", "TargetCurrency"],
+                               schemas.EXCHANGE_RATES)
+
+
+def malformed_customers(t: Shop) -> DataFrame:
+    """Customers as text, some with an id that is no number or a day that is none."""
+    text = t.bronze("customers")
+    text = text.select(*[F.col(c).cast("string").alias(c) for c in text.columns])
+    k = F.col("CustomerID").cast("int")
+    return text.withColumns({
+        "DateOfBirth": F.when(k % 29 == 0, F.concat(F.lit("day "), "CustomerID")).otherwise(F.col("DateOfBirth")),
+        "CustomerID": F.when(k % 31 == 0, F.concat(F.lit("C-"), "CustomerID")).otherwise(F.col("CustomerID")),
+    })
+
+
+#: The gold table behind each serving table.
+SERVED: dict[str, str] = {
+    "customers": "gold_customers", "discounts": "discounts", "employees": "employees",
+    "exchange_rates": "rates", "invoice_fact": "invoices", "invoice_line_items": "line_table",
+    "products": "products", "stores": "gold_stores",
+}
+
+
+def export_rejects(t: Shop) -> DataFrame:
+    return reduce(DataFrame.unionByName,
+                  [rejected_values(getattr(t, source), name) for name, source in SERVED.items()])
+
+
 def sql_over_tables(t: Shop) -> DataFrame:
     """SQL text over DataFrames, with bound values and no global view names."""
     return t.spark.sql(
@@ -218,7 +259,11 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "table_roundtrip": table_roundtrip,
     "verify_roundtrip": lambda t: tables.write_verified(t.customers, t.path("customers")),
     "promote_table": promote_table,
-    "export_mapping": lambda t: to_serving(t.invoices, "invoice_fact", on_overflow="null"),
+    "export_mapping": lambda t: fitting_rows(t.invoices, "invoice_fact"),
+    "export_rejects": export_rejects,
+    "malformed_conforming": lambda t: quality.conforming_rows(malformed_customers(t), schemas.CUSTOMERS),
+    "malformed_rejected": lambda t: quality.rejected_rows(malformed_customers(t), schemas.CUSTOMERS).select(
+        "Email", "missing_columns", "malformed_columns"),
     "sample_rows": lambda t: quality.sample_rows(
         t.transactions.select("InvoiceID", "Line", "ProductID", "LineTotal"), 5,
         "InvoiceID", "Line"),
@@ -261,7 +306,8 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
         "CustomerID", "Country", "City"),
     "translate_store_names": lambda t: t.places.select("StoreID", "StoreName", "City"),
     "names_to_translate": lambda t: joins.names_to_translate(
-        silver.translate_places(t.bronze("customers")), F.col("Country") == L.CHINESE_COUNTRY),
+        silver.translate_places(silver.clean_names(t.bronze("customers"))),
+        F.col("Country") == L.CHINESE_COUNTRY),
     "translate_names": lambda t: translated(t).select("CustomerID", "Country", "Name"),
     "untranslated_names": lambda t: quality.untranslated(
         translated(t), F.col("Country") == L.CHINESE_COUNTRY).select("CustomerID", "Name"),
@@ -283,6 +329,7 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "silver_transactions": lambda t: silver.transactions(t.bronze("transactions")),
     # gold: rates, invoices, lines
     "exchange_rates": lambda t: t.rates,
+    "rates_extended": rates_extended,
     "invoice_fact": lambda t: t.invoices,
     "fx_invoice": lambda t: t.invoices.select(
         "InvoiceID", "Date", "Currency", "InvoiceTotal", "InvoiceTotalUSD"),
@@ -291,20 +338,21 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
         "InvoiceID", "Line", "ProductID", "Category", "SubCategory", "StoreID", "Country", "City"),
     "fx_line": lambda t: usd_lines(t).select(
         "InvoiceID", "Line", "Date", "Currency", "LineTotal", "LineTotalUSD"),
-    "discount_match": lambda t: joins.match_discounts(t.line_dims, t.discounts),
-    "discount_attach": lambda t: joins.attach_discounts(t.line_dims, t.discounts).select(
+    "discount_match": lambda t: joins.match_discounts(t.line_dims, t.discounts, t.span),
+    "discount_attach": lambda t: joins.attach_discounts(t.line_dims, t.discounts, t.span).select(
         "InvoiceID", "Line", "TransactionType", "Discount", "Date", "Category", "SubCategory",
         "DiscountID"),
+    "discount_attach_first": lambda t: joins.attach_discounts(
+        t.line_dims, t.discounts, t.span, match="first").select("InvoiceID", "Line", "DiscountID"),
     "line_item_ids": lambda t: gold.number_line_items(
-        joins.attach_discounts(t.line_dims, t.discounts).select(*gold.LINE_ORDER)),
+        joins.attach_discounts(t.line_dims, t.discounts, t.span).select(*gold.LINE_ORDER)),
     "margin_lines": lambda t: gold.with_margin(usd_lines(t)).select(
         "InvoiceID", "Line", "TransactionType", "Quantity", "LineTotalUSD", "ProductionCost",
         "TotalProductionCost", "ContributionMargin", "ContributionMarginPercentage"),
-    "invoice_line_items": lambda t: gold.invoice_line_items(
-        t.transactions, t.places, t.products, t.discounts, t.rates),
+    "invoice_line_items": lambda t: t.line_table,
     # gold: customers
-    "as_of_date": lambda t: gold.as_of_date(t.lines),
-    "age_groups": lambda t: gold.with_age(t.customers, gold.as_of_date(t.lines).scalar()).select(
+    "as_of_date": lambda t: gold.as_of_date(t.days),
+    "age_groups": lambda t: gold.with_age(t.customers, gold.as_of_date(t.days).scalar()).select(
         "CustomerID", "DateOfBirth", "Age", "AgeGroup"),
     "parent_customers": lambda t: gold.parent_customers(t.lines),
     "customer_spending": lambda t: gold.customer_spending(t.lines),
@@ -317,6 +365,7 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
         t.enriched, "TotalSpending", "NoOfInvoices", "AverageSpending")),
     "customer_rfm": lambda t: t.rfm,
     "rfm_scores": lambda t: gold.rfm_scores(t.rfm),
+    "rfm_table": lambda t: gold.rfm_table(t.rfm),
     "rfm_segments": lambda t: gold.rfm_segments(t.rfm).select(
         "CustomerID", "RFM_Score", "RFM_Segment"),
     "gold_customers": lambda t: t.gold_customers,
@@ -351,6 +400,9 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "customer_invoices": lambda t: lookups.customer_invoices(t.invoices, 42),
 }
 
+QUERIES |= {f"export_{name}": lambda t, name=name, source=source: fitting_rows(getattr(t, source), name)
+            for name, source in SERVED.items()}
+
 
 def _comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles and timestamps as text, which every engine hands out alike."""

@@ -1 +1 @@
-"""Column expressions; everything here stays inside whole-stage codegen."""
+"""Column expressions; built-in functions only. Maps and higher-order functions run outside generated code."""

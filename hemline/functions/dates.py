@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Upper bounds (exclusive) and labels of the age groups.
+# Upper bounds (exclusive) and labels of the age groups.
 AGE_GROUPS = (
     (18, "Under 18"),
     (25, "18-24"),

@@ -17,6 +17,7 @@ _ODD_DIGITS = (
 def clean_phone(phone: Column) -> Column:
     """Drop brackets, an ``x`` extension, dots, hyphens and white space."""
     out = phone
+    # fixed values: what is deleted, in this order
     for noise in (r"[()\[\]{}]", r"x\d*", r"[.\-]", r"\s+"):
         out = F.regexp_replace(out, noise, "")
     return F.trim(out)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hemline.functions.dates import first_of_month
+from hemline.sources.staging import stage
 
 MONEY = "decimal(10,4)"
 
@@ -57,18 +58,25 @@ def missing_rates(df: DataFrame, rates: DataFrame) -> DataFrame:
     return used.join(known, ["Month", "Currency"], "left_anti")
 
 
-def promotion_months(discounts: DataFrame) -> DataFrame:
-    """One row per promotion and calendar month it touches.
+def date_span(lines: DataFrame) -> DataFrame:
+    """First and last day of the lines, one row."""
+    return lines.agg(F.min("Date").alias("first_day"), F.max("Date").alias("last_day"))
+
+
+def promotion_months(discounts: DataFrame, span: DataFrame) -> DataFrame:
+    """One row per promotion and calendar month that it and ``span`` touch.
 
     Turns the date-range match into an equality on (value, month) with a short
-    residual, so it can hash, and spreads over months when it has to shuffle.
+    residual, so it can hash, and spreads over months when it has to shuffle. An
+    open-ended promotion lists no months beyond the lines'. Staged, so that the
+    listed months, not the promotions, decide how they are joined.
     """
+    first, last = span.select("first_day").scalar(), span.select("last_day").scalar()
+    within = discounts.select(
+        "*", F.greatest("StartDate", first).alias("_first"), F.least("EndDate", last).alias("_last"))
     months = F.sequence(
-        first_of_month(F.col("StartDate")),
-        first_of_month(F.col("EndDate")),
-        F.expr("interval 1 month"),
-    )
-    return discounts.filter(F.col("StartDate") <= F.col("EndDate")).select(
+        first_of_month(F.col("_first")), first_of_month(F.col("_last")), F.expr("interval 1 month"))
+    listed = within.filter((F.col("StartDate") <= F.col("EndDate")) & (F.col("_first") <= F.col("_last"))).select(
         F.col("DiscountID"),
         F.col("Discount").alias("_value"),
         F.col("StartDate").alias("_from"),
@@ -77,21 +85,41 @@ def promotion_months(discounts: DataFrame) -> DataFrame:
         F.col("SubCategory").alias("_subcategory"),
         F.explode(months).alias("_month"),
     )
+    return stage(listed, "promotion-months")
 
 
 def discounted_sale() -> Column:
     return (F.col("TransactionType") == "Sale") & (F.col("Discount") > 0)
 
 
-def attach_discounts(lines: DataFrame, discounts: DataFrame) -> DataFrame:
-    """Add the DiscountID of every promotion that covers a discounted sale.
+def attach_discounts(lines: DataFrame, discounts: DataFrame, span: DataFrame | None = None,
+                     match: str = "all") -> DataFrame:
+    """Add the DiscountID of the promotions that cover a discounted sale.
 
-    A line covered by several promotions comes out once per promotion; any other
-    line comes out once, with NULL where nothing matches. This equals matching
-    first and joining back on the line key, for a unique line key, without the
-    second shuffle and without multiplying lines that share a key.
+    With ``match="all"`` a line covered by several promotions comes out once per
+    promotion, so its money is counted as often; any other line comes out once,
+    with NULL where nothing matches. This equals matching first and joining back
+    on the line key, for a unique line key, without the second shuffle and without
+    multiplying lines that share a key. With ``match="first"`` every line comes
+    out once, with the lowest DiscountID. ``span`` holds the first and last day of
+    the lines (one row), and is taken from them by default.
     """
+    if match not in ("all", "first"):
+        raise ValueError("match is 'all' or 'first'")
+    months = promotion_months(discounts, date_span(lines) if span is None else span)
     everything = F.lit("All")
+    if match == "first":
+        # one row per value and month, so that the join cannot multiply lines
+        listed = months.groupBy("_value", "_month").agg(F.collect_list(
+            F.struct("DiscountID", "_from", "_to", "_category", "_subcategory")).alias("_promotions"))
+        same = discounted_sale() & (F.col("Discount") == F.col("_value")) & (
+            first_of_month(F.col("Date")) == F.col("_month"))
+        fitting = F.filter("_promotions", lambda p: F.col("Date").between(p["_from"], p["_to"])
+                           & p["_category"].isin(F.col("Category"), everything)
+                           & p["_subcategory"].isin(F.col("SubCategory"), everything))
+        lowest = F.array_min(F.transform(fitting, lambda p: p["DiscountID"]))
+        return lines.join(listed, same, "left").withColumn("DiscountID", lowest).drop(
+            "_value", "_month", "_promotions")
     covers = (
         discounted_sale()
         & (F.col("Discount") == F.col("_value"))
@@ -100,14 +128,14 @@ def attach_discounts(lines: DataFrame, discounts: DataFrame) -> DataFrame:
         & F.col("_category").isin(F.col("Category"), everything)
         & F.col("_subcategory").isin(F.col("SubCategory"), everything)
     )
-    return lines.join(promotion_months(discounts), covers, "left").drop(
+    return lines.join(months, covers, "left").drop(
         "_value", "_from", "_to", "_category", "_subcategory", "_month"
     )
 
 
-def match_discounts(lines: DataFrame, discounts: DataFrame) -> DataFrame:
+def match_discounts(lines: DataFrame, discounts: DataFrame, span: DataFrame | None = None) -> DataFrame:
     """(InvoiceID, Line, DiscountID) of the discounted sales only."""
-    return attach_discounts(lines.filter(discounted_sale()), discounts).select(
+    return attach_discounts(lines.filter(discounted_sale()), discounts, span).select(
         "InvoiceID", "Line", "DiscountID"
     )
 

@@ -66,12 +66,10 @@ def descending(value: Column) -> tuple[Column, bool]:
 Metric = Column | tuple[Column, bool]
 
 
-def _sort_key(metric: Metric) -> Column:
-    """(where NULLs go, ascending value) of one metric, as Spark would order it."""
+def _sort_parts(metric: Metric) -> tuple[Column, Column]:
+    """Where NULLs go, and the ascending value, of one metric, as Spark would order it."""
     value, down = metric if isinstance(metric, tuple) else (metric, False)
-    nulls = F.when(value.isNull(), 1 if down else -1).otherwise(0)
-    number = value.cast("decimal(38,4)")
-    return F.struct(nulls.alias("_nulls"), (-number if down else number).alias("_value"))
+    return F.when(value.isNull(), 1 if down else -1).otherwise(0), -value if down else value
 
 
 def _positions(df: DataFrame, key: str, metrics: Mapping[str, Metric]) -> DataFrame:
@@ -80,8 +78,10 @@ def _positions(df: DataFrame, key: str, metrics: Mapping[str, Metric]) -> DataFr
     Every metric contributes the same number of rows, so a row's position in
     its own metric is its global number less the metrics before it.
     """
-    sort_keys = F.array(*[_sort_key(m) for m in metrics.values()])
-    long = df.select(key, F.posexplode(sort_keys).alias("_metric", "_sort"))
+    nulls, values = zip(*[_sort_parts(m) for m in metrics.values()])
+    # an array takes the widest of its values' types, so none of them loses digits
+    both = F.arrays_zip(F.array(*nulls).alias("_nulls"), F.array(*values).alias("_value"))
+    long = df.select(key, F.posexplode(both).alias("_metric", "_sort"))
     long = long.select(key, "_metric", "_sort._nulls", "_sort._value")
     numbered = number_rows(long, ["_metric", "_nulls", "_value", key], "_row", total="_all")
     rows = F.floor(F.col("_all") / len(metrics)).cast("long")

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from hemline.functions.lookups import STORE_WIDE_DISCOUNTS
 from hemline.functions.text import has_chinese
 
 
@@ -209,10 +210,16 @@ def extra_characters(df: DataFrame, column: str) -> DataFrame:
     return _characters(df, F.regexp_replace(column, r"[+\p{Nd}]", ""))
 
 
+def store_wide_rule(discounts: DataFrame, values: tuple[float, ...] = STORE_WIDE_DISCOUNTS) -> DataFrame:
+    """Whether the promotions without a product group are just those of the given values."""
+    no_group = F.col("Category").isNull() | F.col("SubCategory").isNull()
+    return same_rows(discounts.filter(no_group), discounts.filter(F.col("Discount").isin(*values)))
+
+
 # --- schema enforcement ---------------------------------------------------
 
-def _typed(df: DataFrame, schema: StructType) -> list[Column]:
-    return [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+def _typed(schema: StructType) -> list[Column]:
+    return [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
 
 
 def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
@@ -228,22 +235,26 @@ def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[column(f) for f in schema.fields])
 
 
-def _missing_required(schema: StructType) -> Column:
-    names = [F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in schema.fields if not f.nullable]
-    return F.concat_ws(",", *names)
+def _problems(schema: StructType) -> tuple[Column, Column]:
+    """Names of required columns without a value, and of columns whose value has another type."""
+    missing = [F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in schema.fields if not f.nullable]
+    malformed = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+                 for f in schema.fields]
+    return F.concat_ws(",", *missing), F.concat_ws(",", *malformed)
 
 
 def conforming_rows(df: DataFrame, schema: StructType) -> DataFrame:
-    """Typed rows with every required column present."""
-    return df.select(*_typed(df, schema)).filter(_missing_required(schema) == "")
+    """Typed rows with every required column present and every value of its type."""
+    missing, malformed = _problems(schema)
+    return df.filter((missing == "") & (malformed == "")).select(*_typed(schema))
 
 
 def rejected_rows(df: DataFrame, schema: StructType) -> DataFrame:
-    """The other rows, with the required columns they lack."""
+    """The other rows, typed as far as they go, with the columns that are missing or malformed."""
+    missing, malformed = _problems(schema)
     return (
-        df.select(*_typed(df, schema))
-        .withColumn("missing_columns", _missing_required(schema))
-        .filter(F.col("missing_columns") != "")
+        df.select(*_typed(schema), missing.alias("missing_columns"), malformed.alias("malformed_columns"))
+        .filter((F.col("missing_columns") != "") | (F.col("malformed_columns") != ""))
     )
 
 

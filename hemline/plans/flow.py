@@ -13,11 +13,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hemline import schemas
+from hemline.operators.joins import missing_rates
+from hemline.operators.quality import conforming_rows, rejected_rows
 from hemline.plans import gold, reports, silver
-from hemline.sources.delimited import read_csv
-from hemline.sources.tables import (
-    Catalog, load_or_build, promote_table, read_table, write_verified,
-)
+from hemline.sources.delimited import read_csv_text
+from hemline.sources.tables import Catalog, extend_table, promote_table, read_table, write_verified
 
 PROMOTED = ("discounts", "products", "employees")
 
@@ -27,17 +27,26 @@ def _report(checks: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def run_silver(spark: SparkSession, catalog: Catalog, translations: DataFrame | None = None,
-               mode: str = "overwrite") -> DataFrame:
-    """Clean all bronze tables into silver; returns the write checks."""
+def run_silver(spark: SparkSession, catalog: Catalog,
+               translations: DataFrame | None = None) -> DataFrame:
+    """Clean all bronze tables into silver; returns the write checks.
+
+    Rows that lack a required value or hold a malformed one don't stop the run: they are
+    stored as ``rejected_<table>``, with what is wrong, and reported. Silver is built whole
+    from bronze, so a rerun replaces it.
+    """
     checks = {}
 
     def bronze(name: str) -> DataFrame:
-        return read_csv(spark, catalog.bronze(name), schemas.BRONZE[name])
+        schema = schemas.BRONZE[name]
+        raw = read_csv_text(spark, catalog.bronze(name), schema)
+        checks[f"rejected_{name}"] = write_verified(
+            rejected_rows(raw, schema), catalog.silver(f"rejected_{name}"), fmt=catalog.fmt)
+        return conforming_rows(raw, schema)
 
     def write(name: str, df: DataFrame) -> None:
         conformed = gold.shaped(df, schemas.SILVER[name])
-        checks[name] = write_verified(conformed, catalog.silver(name), mode, catalog.fmt)
+        checks[name] = write_verified(conformed, catalog.silver(name), fmt=catalog.fmt)
 
     write("employees", silver.employees(bronze("employees"), translations))
     staff = read_table(spark, catalog.silver("employees"), schemas.EMPLOYEES, catalog.fmt)
@@ -51,11 +60,15 @@ def run_silver(spark: SparkSession, catalog: Catalog, translations: DataFrame |
 
 def run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day: datetime.date,
              last_day: datetime.date, as_of: datetime.date | None = None,
-             mode: str = "overwrite") -> DataFrame:
+             match: str = "all") -> DataFrame:
     """Build all gold tables from silver; returns the write checks.
 
-    Rates are built from ``feed`` only when they are not stored yet. Without
-    ``as_of`` ages and recency count to the month after the last line.
+    Gold is built whole from silver, so a rerun replaces every table whatever the
+    environment's write mode: appending would count each line again. Rates alone are
+    kept: months that are not stored yet are built from ``feed`` and added. Months and
+    currencies without a rate, whose amounts stay as they are, are stored as
+    ``missing_rates`` and reported. ``match="first"`` gives each line one promotion at
+    most. Without ``as_of`` ages and recency count to the month after the last line.
     """
     checks = {}
 
@@ -63,27 +76,27 @@ def run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day:
         return read_table(spark, catalog.silver(name), schemas.SILVER[name], catalog.fmt)
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        checks[name] = write_verified(df, catalog.gold(name), mode, catalog.fmt)
+        checks[name] = write_verified(df, catalog.gold(name), fmt=catalog.fmt)
         return read_table(spark, catalog.gold(name), fmt=catalog.fmt)
 
-    def build_rates() -> DataFrame:
-        bounds = spark.range(1).select(
-            F.lit(first_day).alias("first_day"), F.lit(last_day).alias("last_day")
-        )
-        return gold.exchange_rates(gold.month_spine(bounds), feed)
-
-    rates = load_or_build(
-        spark, catalog.gold("exchange_rates"), build_rates, schemas.EXCHANGE_RATES, catalog.fmt
+    bounds = spark.range(1).select(
+        F.lit(first_day).alias("first_day"), F.lit(last_day).alias("last_day")
+    )
+    rates = extend_table(
+        spark, catalog.gold("exchange_rates"), gold.exchange_rates(gold.month_spine(bounds), feed),
+        ["RateDate", "BaseCurrency", "TargetCurrency"], schemas.EXCHANGE_RATES, catalog.fmt,
     )
     sales, stores, products = stored("transactions"), stored("stores"), stored("products")
-    write("invoice_fact", gold.invoice_fact(sales, stores, rates))
+    invoices = write("invoice_fact", gold.invoice_fact(sales, stores, rates))
+    write("missing_rates", missing_rates(invoices, rates))
     lines = write(
         "invoice_line_items",
-        gold.invoice_line_items(sales, stores, products, stored("discounts"), rates),
+        gold.invoice_line_items(sales, stores, products, stored("discounts"), rates,
+                                gold.line_span(sales), match),
     )
     for name in PROMOTED:
         promote_table(spark, catalog.silver(name), catalog.gold(name), schemas.SILVER[name],
-                      mode, catalog.fmt)
+                      fmt=catalog.fmt)
     write("stores", gold.gold_stores(stores, gold.store_metrics(lines)))
     metrics = write("customer_metrics", gold.customer_metrics(lines))
     day = None if as_of is None else F.lit(as_of)

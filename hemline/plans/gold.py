@@ -115,16 +115,25 @@ def with_margin(lines: DataFrame) -> DataFrame:
 
 def line_items(
     transactions: DataFrame, stores: DataFrame, products: DataFrame,
-    discounts: DataFrame, rates: DataFrame,
+    discounts: DataFrame, rates: DataFrame, span: DataFrame | None = None, match: str = "all",
 ) -> DataFrame:
-    """Gold line items but for the surrogate key; lazy, so reports stay prunable."""
+    """Gold line items but for the surrogate key; lazy, so reports stay prunable.
+
+    ``span`` holds the first and last day of the lines, if it is known more cheaply.
+    """
     lines = line_items_with_dimensions(transactions, stores, products)
     lines = to_usd(lines, rates, "LineTotal", "LineTotalUSD")
-    return with_margin(attach_discounts(lines, discounts)).select(
+    return with_margin(attach_discounts(lines, discounts, span, match)).select(
         *[c for c in schemas.INVOICE_LINE_ITEMS.names if c != "LineItemID"]
     )
 
 
+def line_span(transactions: DataFrame) -> DataFrame:
+    """First and last day of the transactions, one row."""
+    day = F.to_date("Timestamp")
+    return transactions.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+
+
 LINE_ORDER = ("InvoiceID", "Line", "DiscountID")
 
 
@@ -136,9 +145,9 @@ def number_line_items(lines: DataFrame) -> DataFrame:
 
 def invoice_line_items(
     transactions: DataFrame, stores: DataFrame, products: DataFrame,
-    discounts: DataFrame, rates: DataFrame,
+    discounts: DataFrame, rates: DataFrame, span: DataFrame | None = None, match: str = "all",
 ) -> DataFrame:
-    lines = line_items(transactions, stores, products, discounts, rates)
+    lines = line_items(transactions, stores, products, discounts, rates, span, match)
     return shaped(number_line_items(lines), schemas.INVOICE_LINE_ITEMS)
 
 
@@ -288,6 +297,11 @@ RFM_RULES = (
 OTHER_SEGMENT = "Others"
 
 
+def rfm_table(rfm: DataFrame) -> DataFrame:
+    """The figures of every customer with their scores and segment."""
+    return rfm.join(rfm_segments(rfm), "CustomerID")
+
+
 def rfm_segment() -> Column:
     label = F.lit(OTHER_SEGMENT)
     for condition, name in reversed(RFM_RULES):
@@ -323,30 +337,35 @@ def gold_customers(
 def store_metrics(lines: DataFrame) -> DataFrame:
     """Sales, returns, invoice counts and active months per store.
 
-    Lines first collapse to (store, type, invoice, month), then the distinct
-    counts run over invoices instead of lines.
+    Lines collapse to (store, type, invoice), whose rows are then counted, and carry
+    the set of their months (one, or two where an invoice crosses a month's end), so
+    no row is expanded for distinct counts.
     """
     amount = F.col("LineTotalUSD")
-    month = F.date_format("Date", "yyyy-MM").alias("_month")
+    month = F.date_format("Date", "yyyy-MM")
     invoices = collapse(
-        lines, ["StoreID", "TransactionType", "InvoiceID", month],
+        lines, ["StoreID", "TransactionType", "InvoiceID"],
         F.sum(amount).alias("_value"),
         F.sum(F.abs(amount)).alias("_size"),
         F.min("Date").alias("_first"),
         F.max("Date").alias("_last"),
+        F.collect_set(month).alias("_months"),
     )
     sale, back = F.expr(IS_SALE), F.expr(IS_RETURN)
+    named = F.col("InvoiceID").isNotNull()
+    # per store at most as many distinct months as the calendar has
     return invoices.groupBy("StoreID").agg(
         F.sum(F.when(sale, F.col("_value")).otherwise(0))
         .cast("decimal(24,4)").alias("TotalSalesUSD"),
-        F.count_distinct(F.when(sale, F.col("InvoiceID"))).alias("TotalTransactions"),
-        F.count_distinct(F.when(back, F.col("InvoiceID"))).alias("TotalReturns"),
+        F.count_if(sale & named).alias("TotalTransactions"),
+        F.count_if(back & named).alias("TotalReturns"),
         F.sum(F.when(back, F.col("_size")).otherwise(0))
         .cast("decimal(24,4)").alias("TotalReturnsUSD"),
         F.min("_first").alias("FirstTransactionDate"),
         F.max("_last").alias("LastTransactionDate"),
-        F.count_distinct("_month").alias("MonthsWithTransactions"),
-    )
+        F.collect_set(F.concat_ws(" ", F.array_sort("_months"))).alias("_months"),
+    ).withColumn("MonthsWithTransactions", F.size(F.array_distinct(F.filter(
+        F.split(F.array_join("_months", " "), " "), lambda m: m != ""))).cast("long")).drop("_months")
 
 
 def gold_stores(stores: DataFrame, metrics: DataFrame) -> DataFrame:
@@ -362,8 +381,9 @@ def gold_stores(stores: DataFrame, metrics: DataFrame) -> DataFrame:
     returned = F.coalesce(F.col("TotalReturnsUSD"), zero.cast("decimal(24,4)"))
     rate = returned * 100 / F.nullif(sales, zero.cast("decimal(24,4)"))
     figures = {
-        "AverageMonthlyUSD": F.when(months > 0, (sales / F.nullif(months, zero)).try_cast(MONEY))
-        .otherwise(zero),
+        # as wide as the sum, so a busy store keeps its figure; the serving layout checks its own width
+        "AverageMonthlyUSD": F.when(
+            months > 0, (sales / F.nullif(months, zero)).cast("decimal(24,4)")).otherwise(zero),
         "ReturnRate": F.when(sold > 0, rate.try_cast("decimal(10,2)")).otherwise(zero),
         "MonthsOfOperation": months_of_operation(
             F.col("FirstTransactionDate"), F.col("LastTransactionDate")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hemline.operators.numbering import descending, rank_scores
 from hemline.plans.gold import IS_SALE
+from hemline.sources.staging import stage
 
 
 def _money(total: Column) -> Column:
@@ -216,8 +217,10 @@ def stores_by_country(stores: DataFrame) -> DataFrame:
 def store_ranking(stores: DataFrame) -> DataFrame:
     """Ranks by sales and monthly sales (highest first) and return rate (lowest first).
 
-    A missing return rate ranks first, as in an ascending sort.
+    A missing return rate ranks first, as in an ascending sort. The figures are
+    staged, because they are sorted and joined.
     """
+    stores = stage(stores, "store-figures")
     ranks = rank_scores(
         stores, "StoreID",
         {

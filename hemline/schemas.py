@@ -120,8 +120,8 @@ GOLD_STORES = _layout(
     StoreID="integer", Country="string", City="string", StoreName="string",
     NumberOfEmployees="integer", ZIPCode="string", Latitude="decimal(10,6)",
     Longitude="decimal(10,6)", TotalSalesUSD="decimal(24,4)",
-    TotalTransactions="integer", TotalReturns="integer",
-    AverageMonthlyUSD="decimal(10,4)", ReturnRate="decimal(10,2)",
+    TotalTransactions="long", TotalReturns="long",
+    AverageMonthlyUSD="decimal(24,4)", ReturnRate="decimal(10,2)",
     MonthsOfOperation="decimal(5,1)",
 )
 

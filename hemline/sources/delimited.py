@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 _FORM = {"header": "true", "quote": '"', "escape": "\\"}
 
@@ -13,6 +13,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.options(**_FORM, mode="PERMISSIVE").schema(schema).csv(path)
 
 
+def read_csv_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The schema's columns as text, so that malformed values can be told from missing ones."""
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    return read_csv(spark, path, text)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Values keep their blanks; an empty text and NULL both come back as NULL."""
     keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}

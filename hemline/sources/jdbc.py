@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from hemline.sources.delimited import write_csv
-from hemline.sources.serving import to_serving
+from hemline.sources.serving import SERVING, to_serving
 
 # Source table -> landed CSV folder.
 LANDED_TABLES = {
@@ -65,13 +65,29 @@ def write_jdbc(df: DataFrame, db: Database, name: str, mode: str = "append",
 
 
 def land_tables(spark: SparkSession, db: Database, bronze_root: str,
-                splits: dict[str, dict[str, str]] | None = None) -> None:
-    """Copy every source table to a CSV folder."""
+                splits: dict[str, dict[str, str]]) -> None:
+    """Copy every source table to a CSV folder.
+
+    The transactions need a split: they would come over one connection without.
+    """
+    unsplit = [n for n, folder in LANDED_TABLES.items() if folder == "transactions" and n not in splits]
+    if unsplit:
+        raise ValueError(f"pass split_options for {', '.join(unsplit)}")
     for name, folder in LANDED_TABLES.items():
-        write_csv(read_jdbc(spark, db, name, (splits or {}).get(name)), f"{bronze_root}/{folder}")
+        write_csv(read_jdbc(spark, db, name, splits.get(name)), f"{bronze_root}/{folder}")
 
 
 def serve_table(gold: DataFrame, db: Database, table: str, target: str,
-                mode: str = "append", on_overflow: str = "fail") -> None:
+                mode: str = "append") -> None:
     """Insert one gold table in its serving layout, columns by name."""
-    write_jdbc(to_serving(gold, table, on_overflow), db, target, mode)
+    write_jdbc(to_serving(gold, table), db, target, mode)
+
+
+def serve_all(tables: dict[str, DataFrame], db: Database, targets: dict[str, str],
+              mode: str = "append") -> None:
+    """Insert all gold tables; ``targets`` names the database table of each."""
+    missing = sorted(set(SERVING) - set(tables)) + sorted(set(SERVING) - set(targets))
+    if missing:
+        raise ValueError(f"no table or target for {', '.join(missing)}")
+    for name in SERVING:
+        serve_table(tables[name], db, name, targets[name], mode)

@@ -9,21 +9,12 @@ are placed by the remainder of a key.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from hemline import schemas
-from hemline.sources.tables import spread
-
-
-_known_schemas: dict[str, StructType] = {}
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table; its schema is read from the files only the first time."""
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    if path not in _known_schemas:
-        _known_schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_known_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def _sql(df: DataFrame, schema, **columns: str) -> DataFrame:
@@ -191,11 +182,13 @@ def _signed(amount: str) -> str:
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spread(_table(spark, folder, "lineitem"), "l_orderkey")
+    """Lines of all orders; every line of each 37th order comes twice."""
+    lines = _table(spark, folder, "lineitem")
     orders = _table(spark, folder, "orders")
     df = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-    # small enough for the money columns of busy stores
-    price = "CAST(l_extendedprice AS DECIMAL(10,2)) * 0.01BD"
+    twice = F.when(F.col("o_orderkey") % 37 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    df = df.withColumn("_copy", F.explode(twice))
+    price = "CAST(l_extendedprice AS DECIMAL(10,2))"
     return _sql(
         df, schemas.TRANSACTIONS,
         InvoiceID="'INV-' || o_orderkey",

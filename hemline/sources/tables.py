@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from hemline.operators.quality import column_types, enforce_schema
+from hemline.sources.staging import stage
 
 # How a run of each environment writes.
 WRITE_MODES = {"dev": "overwrite", "test": "overwrite", "prod": "append"}
 
+# Table options when the format is delta.
 DELTA_OPTIONS = {
     "delta.autoOptimize.optimizeWrite": "true",
     "delta.autoOptimize.autoCompact": "true",
@@ -49,19 +51,6 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     return enforce_schema(df, schema) if schema is not None else df
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Redistribute an input whose files give fewer tasks than there are cores.
-
-    A table of a few small files would otherwise keep one core busy through
-    every stage up to the next shuffle. A table with enough files is returned
-    as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.select(*keys).rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 partition_by: tuple[str, ...] = ()) -> None:
     """Write with as many tasks as the data has partitions.
@@ -118,6 +107,21 @@ def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     return read_table(spark, path, schema, fmt)
 
 
+def extend_table(spark: SparkSession, path: str, rows: DataFrame, keys: list[str],
+                 schema: StructType | None = None, fmt: str = "parquet") -> DataFrame:
+    """Append the rows whose key is not stored yet, and read the table.
+
+    The new rows are staged first, so the append does not read what it writes to.
+    """
+    stored = read_if_exists(spark, path, fmt)
+    if stored is None:
+        write_table(rows, path, fmt=fmt)
+    else:
+        fresh = stage(rows.join(stored.select(*keys), keys, "left_anti").select(*rows.columns), "fresh-rows")
+        write_table(fresh, path, "append", fmt)
+    return read_table(spark, path, schema, fmt)
+
+
 def promote_table(spark: SparkSession, source: str, target: str, schema: StructType,
                   mode: str = "overwrite", fmt: str = "parquet") -> DataFrame:
     """Copy a silver table unchanged to gold, conforming to its schema."""

@@ -189,10 +189,10 @@ CTES["b_transactions"] = f"""
         CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_partkey % 500 = 3 THEN 'NaN'
             ELSE 'M' END AS Size,
         CASE WHEN l_linenumber % 4 <> 0 THEN 'DARK ' || l_linestatus END AS Color,
-        CAST({_PRICE} * 0.01 AS DECIMAL(10,4)) AS UnitPrice, CAST(l_quantity AS INT) AS Quantity,
+        CAST({_PRICE} AS DECIMAL(10,4)) AS UnitPrice, CAST(l_quantity AS INT) AS Quantity,
         o_orderdate + to_seconds(o_orderkey % 86400) AS Timestamp,
         CAST(l_discount AS DECIMAL(10,2)) AS Discount,
-        CAST({signed(f"{_PRICE} * 0.01 * (1 - CAST(l_discount AS DECIMAL(3,2)))")} AS DECIMAL(10,4)) AS LineTotal,
+        CAST({signed(f"{_PRICE} * (1 - CAST(l_discount AS DECIMAL(3,2)))")} AS DECIMAL(10,4)) AS LineTotal,
         CAST(CASE WHEN o_orderkey % 26 = 24 THEN 25 ELSE o_orderkey % 26 END AS INT) AS StoreID,
         CAST(o_orderkey % 100 AS INT) AS EmployeeID,
         CASE WHEN o_orderkey % 50 = 7 THEN NULL WHEN o_orderkey % 4 = 0 THEN 'USD'
@@ -203,7 +203,8 @@ CTES["b_transactions"] = f"""
         CASE WHEN o_orderkey % 10 = 0 THEN 'RETURN' ELSE ' sale ' END AS TransactionType,
         CASE o_orderkey % 3 WHEN 0 THEN 'credit card' WHEN 1 THEN ' CASH' ELSE 'pix' END AS PaymentMethod,
         CAST({signed("CAST(o_totalprice AS DECIMAL(10,2))")} AS DECIMAL(10,4)) AS InvoiceTotal
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    CROSS JOIN (SELECT unnest([1, 2]) AS copy) WHERE copy = 1 OR o_orderkey % 37 = 0"""
 
 CTES["feed"] = """
     SELECT RateDate, c AS TargetCurrency,
@@ -271,7 +272,7 @@ CTES["s_stores"] = """
 CTES["s_transactions"] = f"""
     SELECT * REPLACE ({std("coalesce(Color, 'Not Specified')")} AS Color,
         coalesce(Size, 'One Size') AS Size, {std('TransactionType')} AS TransactionType,
-        {std('PaymentMethod')} AS PaymentMethod) FROM b_transactions"""
+        {std('PaymentMethod')} AS PaymentMethod) FROM (SELECT DISTINCT * FROM b_transactions)"""
 
 _MONTH = "CAST(date_trunc('month', {d}) AS DATE)"
 
@@ -412,8 +413,7 @@ _MONTHS = """(year(b) - year(a)) * 12 + month(b) - month(a) + CASE WHEN day(a) =
 
 CTES["g_stores"] = f"""
     SELECT s.*, coalesce(TotalSalesUSD, 0) AS TotalSalesUSD,
-        CAST(coalesce(TotalTransactions, 0) AS INT) AS TotalTransactions,
-        CAST(coalesce(TotalReturns, 0) AS INT) AS TotalReturns,
+        coalesce(TotalTransactions, 0) AS TotalTransactions, coalesce(TotalReturns, 0) AS TotalReturns,
         CASE WHEN coalesce(MonthsWithTransactions, 0) > 0
             THEN {ratio('TotalSalesUSD', 'MonthsWithTransactions', 4)} ELSE 0 END AS AverageMonthlyUSD,
         CASE WHEN coalesce(TotalTransactions, 0) > 0
@@ -503,6 +503,9 @@ _USAGE = """SELECT d.DiscountID, StartDate, EndDate, CAST(d.Discount AS DOUBLE)
 
 _TIDY_CUSTOMERS = "SELECT * REPLACE (nullif(Telephone, '') AS Telephone) FROM b_customers"
 
+_FITTING_INVOICES = f"SELECT {doubles('InvoiceTotal', 'InvoiceTotalUSD')} FROM invoices " \
+    "WHERE abs(InvoiceTotal) <= 214748.3647 AND abs(InvoiceTotalUSD) <= 214748.3647"
+
 _PLAIN: dict[str, str] = {
     "csv_roundtrip": _TIDY_CUSTOMERS,
     "enforce_schema": f"SELECT {doubles('ProductionCost')} FROM b_products",
@@ -517,10 +520,16 @@ _PLAIN: dict[str, str] = {
     "verify_roundtrip": "SELECT count(*) AS written_count, count(*) AS read_count, "
                         "true AS counts_match, true AS types_match FROM s_customers",
     "promote_table": "SELECT * FROM s_employees",
-    "export_mapping": """SELECT InvoiceID, CustomerID, Date, Time, StoreID, StoreCountry, PaymentMethod,
-        CASE WHEN abs(InvoiceTotal) <= 214748.3647 THEN CAST(InvoiceTotal AS DOUBLE) END AS InvoiceTotal,
-        CASE WHEN abs(InvoiceTotalUSD) <= 214748.3647 THEN CAST(InvoiceTotalUSD AS DOUBLE) END AS InvoiceTotalUSD,
-        StoreCity, EmployeeID, TotalQuantity, Currency, CurrencySymbol, TransactionType FROM invoices""",
+    "export_mapping": _FITTING_INVOICES,
+    "export_rejects": """SELECT 'invoice_fact' AS table_name, InvoiceID AS row_key, 'InvoiceTotal' AS column_name,
+            CAST(InvoiceTotal AS VARCHAR) AS value FROM invoices WHERE abs(InvoiceTotal) > 214748.3647
+        UNION ALL SELECT 'invoice_fact', InvoiceID, 'InvoiceTotalUSD', CAST(InvoiceTotalUSD AS VARCHAR)
+        FROM invoices WHERE abs(InvoiceTotalUSD) > 214748.3647""",
+    "malformed_conforming": "SELECT * FROM b_customers WHERE CustomerID % 29 <> 0 AND CustomerID % 31 <> 0",
+    "malformed_rejected": """SELECT Email, '' AS missing_columns,
+        concat_ws(',', CASE WHEN CustomerID % 31 = 0 THEN 'CustomerID' END,
+                  CASE WHEN CustomerID % 29 = 0 THEN 'DateOfBirth' END) AS malformed_columns
+        FROM b_customers WHERE CustomerID % 29 = 0 OR CustomerID % 31 = 0""",
     "sample_rows": "SELECT InvoiceID, Line, ProductID, CAST(LineTotal AS DOUBLE) AS LineTotal "
                    "FROM s_transactions ORDER BY InvoiceID, Line LIMIT 5",
     "null_profile": null_counts("b_customers", " ".join(_CUSTOMER_COLUMNS), "{c} IS NULL"),
@@ -529,11 +538,12 @@ _PLAIN: dict[str, str] = {
         f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL OR CAST({c} AS VARCHAR) = 'NaN')"
         f" AS null_count, count(*) AS n FROM b_transactions)"
         for c in _TRANSACTION_COLUMNS.split()),
-    "duplicate_rows": "SELECT count(*) AS duplicate_rows FROM b_transactions",
+    "duplicate_rows": "SELECT 2 * count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM b_transactions)) "
+                      "AS duplicate_rows FROM b_transactions",
     "duplicate_keys": "SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_keys "
                       "FROM lineitem",
     "dedup_transactions": "SELECT InvoiceID, Line, SKU, CAST(LineTotal AS DOUBLE) AS LineTotal "
-                          "FROM b_transactions",
+                          "FROM (SELECT DISTINCT * FROM b_transactions)",
     "check_emails": """SELECT count(*) AS total_count, count(*) FILTER (WHERE contains(Email, '@'))
         AS valid_count, count(*) = count(*) FILTER (WHERE contains(Email, '@')) AS all_valid
         FROM b_customers""",
@@ -567,8 +577,8 @@ _PLAIN: dict[str, str] = {
     "clean_names": f"SELECT CustomerID, {no_titles('Name')} AS Name FROM b_customers",
     "translate_geo": "SELECT CustomerID, Country, City FROM named",
     "translate_store_names": "SELECT StoreID, StoreName, City FROM places",
-    "names_to_translate": f"""SELECT DISTINCT Name AS original_name FROM b_customers
-        WHERE {mapped('Country', COUNTRY_NAMES)} = 'China' AND Name IS NOT NULL""",
+    "names_to_translate": """SELECT DISTINCT Name AS original_name FROM named
+        WHERE Country = 'China' AND Name IS NOT NULL""",
     "translate_names": "SELECT CustomerID, Country, Name FROM translated",
     "untranslated_names": "SELECT CustomerID, Name FROM translated WHERE Country = 'China' "
                           "AND regexp_matches(Name, '[一-鿿]')",
@@ -591,6 +601,7 @@ _PLAIN: dict[str, str] = {
         f"CAST({c} AS DOUBLE) AS {c}" for c in ("UnitPrice", "Discount", "LineTotal", "InvoiceTotal"))
         + ") FROM s_transactions",
     "exchange_rates": f"SELECT {doubles('ExchangeRate')} FROM rates",
+    "rates_extended": f"SELECT {doubles('ExchangeRate')} FROM rates",
     "invoice_fact": _INVOICES,
     "fx_invoice": """SELECT InvoiceID, Date, Currency, CAST(InvoiceTotal AS DOUBLE) AS InvoiceTotal,
         CAST(InvoiceTotalUSD AS DOUBLE) AS InvoiceTotalUSD FROM invoices""",
@@ -608,6 +619,8 @@ _PLAIN: dict[str, str] = {
     "discount_match": "SELECT InvoiceID, Line, DiscountID FROM matches",
     "discount_attach": """SELECT InvoiceID, Line, TransactionType, CAST(Discount AS DOUBLE) AS Discount,
         Date, Category, SubCategory, DiscountID FROM attached""",
+    "discount_attach_first": "SELECT InvoiceID, Line, min(DiscountID) AS DiscountID FROM attached "
+                             "GROUP BY InvoiceID, Line",
     "line_item_ids": "SELECT LineItemID, InvoiceID, Line, DiscountID FROM numbered",
     "margin_lines": f"SELECT {doubles('LineTotalUSD', *_LINE_MONEY[4:])} FROM (SELECT InvoiceID, Line, "
         "TransactionType, Quantity, LineTotalUSD, ProductionCost, TotalProductionCost, "
@@ -634,6 +647,8 @@ _PLAIN: dict[str, str] = {
     "spending_summary": summary("enriched", "TotalSpending", "NoOfInvoices", "AverageSpending"),
     "customer_rfm": f"SELECT {doubles('Monetary')} FROM rfm",
     "rfm_scores": "SELECT CustomerID, R_Score, F_Score, M_Score, RFM_Score FROM scores",
+    "rfm_table": f"SELECT {doubles('Monetary')} FROM (SELECT r.*, R_Score, F_Score, M_Score, RFM_Score, RFM_Segment "
+                 "FROM rfm r JOIN segments s ON r.CustomerID = s.CustomerID)",
     "rfm_segments": "SELECT CustomerID, RFM_Score, RFM_Segment FROM segments",
     "gold_customers": f"SELECT {doubles('TotalSpending', 'AverageSpending')} FROM g_customers",
     "store_metrics": f"SELECT {doubles('TotalSalesUSD', 'TotalReturnsUSD')} FROM store_figures",
@@ -684,7 +699,7 @@ _PLAIN: dict[str, str] = {
         FROM g_customers GROUP BY 1""",
     "stores_by_country": f"""SELECT Country, count(*) AS StoreCount,
         {money('sum(TotalSalesUSD)')} AS CountryTotalSales, {mean('TotalSalesUSD')} AS AvgStoreRevenue,
-        {mean('CAST(AverageMonthlyUSD AS DECIMAL(14,4))')} AS AvgMonthlyRevenue,
+        {mean('CAST(AverageMonthlyUSD AS DECIMAL(18,4))')} AS AvgMonthlyRevenue,
         {mean('CAST(ReturnRate AS DECIMAL(10,2))')} AS AvgReturnRate FROM g_stores GROUP BY 1""",
     "store_ranking": f"""SELECT {doubles('TotalSalesUSD', 'AverageMonthlyUSD', 'ReturnRate')} FROM (
         SELECT StoreID, StoreName, City, Country, TotalSalesUSD, AverageMonthlyUSD, TotalTransactions,
@@ -711,4 +726,10 @@ _PLAIN: dict[str, str] = {
     "customer_invoices": _INVOICES + " WHERE CustomerID = 42",
 }
 
+_EXPORTED = {"customers": "gold_customers", "discounts": "silver_discounts", "employees": "silver_employees",
+             "exchange_rates": "exchange_rates", "invoice_fact": "export_mapping",
+             "invoice_line_items": "invoice_line_items", "products": "silver_products", "stores": "gold_stores"}
+# only invoices have amounts beyond their column in this data; export_rejects shows it
+_PLAIN |= {f"export_{name}": _PLAIN[query] for name, query in _EXPORTED.items()}
+
 ORACLES: dict[str, str] = {name: with_tables(sql) for name, sql in _PLAIN.items()}

@@ -120,9 +120,30 @@ def test_promoted_tables_are_unchanged(spark, catalog):
             map(str, table(spark, catalog, "silver", name)))
 
 
-def test_rerun_overwrites(spark, catalog):
+def test_rerun_replaces_and_extends_rates(spark, catalog):
+    """A second run, whatever the mode of its environment, gives the same tables."""
+    before = {n: sorted(map(str, table(spark, catalog, "gold", n))) for n in (
+        "invoice_fact", "invoice_line_items", "customers", "stores")}
     run_gold(spark, catalog, spark.createDataFrame([], schemas.RATES_FEED), D(2024, 1, 1), D(2024, 12, 31))
-    # the stored rates were read, the empty feed was not needed
-    assert {float(r.LineTotalUSD) for r in table(spark, catalog, "gold", "invoice_line_items")} == {
-        80.0, 20.0, -160.0}
-    assert len(table(spark, catalog, "gold", "customers")) == 2
+    assert before == {n: sorted(map(str, table(spark, catalog, "gold", n))) for n in before}
+    missing = read_table(spark, catalog.gold("missing_rates")).collect()
+    assert [(r.Month, r.Currency, r.row_count) for r in missing] == [(D(2024, 12, 1), "CNY", 1)]
+    more = spark.createDataFrame([(D(2024, 12, 1), "CNY", Decimal("8"))],
+                                 "RateDate date, TargetCurrency string, Rate decimal(18,8)")
+    run_gold(spark, catalog, more, D(2024, 1, 1), D(2025, 12, 31))
+    lines = table(spark, catalog, "gold", "invoice_line_items")
+    assert {float(r.LineTotalUSD) for r in lines} == {80.0, 20.0, -20.0}
+    assert len({r.LineItemID for r in lines}) == len(lines) == 4
+    assert read_table(spark, catalog.gold("missing_rates")).count() == 0
+
+
+def test_bad_bronze_rows_are_set_aside(spark, tmp_path):
+    for name, text in BRONZE.items():
+        folder = tmp_path / "bronze" / name
+        folder.mkdir(parents=True)
+        (folder / "part.csv").write_text(text + ('"x","1","Eve","Clerk"\n' if name == "employees" else ""), encoding="utf-8")
+    lake = Catalog(str(tmp_path))
+    run_silver(spark, lake, None)
+    bad = read_table(spark, lake.silver("rejected_employees")).collect()
+    assert [(r.Name, r.malformed_columns) for r in bad] == [("Eve", "EmployeeID")]
+    assert len(table(spark, lake, "silver", "employees")) == 3

@@ -4,10 +4,12 @@ import datetime
 from decimal import Decimal
 
 import pytest
+
+from hemline import schemas
 from pyspark.sql import functions as F
 
 from hemline.plans import gold, lookups, reports, silver
-from hemline.sources.serving import SERVING, serving_columns, to_serving
+from hemline.sources.serving import SERVING, fitting_rows, rejected_values, serving_columns, to_serving
 
 D = datetime.date
 
@@ -262,9 +264,11 @@ def test_serving_layouts():
 def test_serving_ranges(spark):
     df = spark.createDataFrame([(3_000_000_000, 1), (5, 1)], "EmployeeID long, StoreID long").withColumns(
         {"Position": F.lit("p"), "Name": F.lit("n")})
-    out = to_serving(df, "employees", on_overflow="null")
+    out = fitting_rows(df, "employees")
     assert out.columns == ["EmployeeID", "StoreID", "Name", "Position"]
-    assert [r.EmployeeID for r in out.collect()] == [None, 5]
+    assert [r.EmployeeID for r in out.collect()] == [5]
+    assert [tuple(r) for r in rejected_values(df, "employees").collect()] == [
+        ("employees", "3000000000", "EmployeeID", "3000000000")]
     with pytest.raises(Exception, match="EmployeeID does not fit int"):
         to_serving(df, "employees").collect()
     assert to_serving(df.filter("EmployeeID = 5"), "employees").count() == 1
@@ -274,5 +278,30 @@ def test_serving_smallmoney(spark):
     names = [n for n, _ in serving_columns("products") if n != "ProductionCost"]
     df = spark.createDataFrame([("214748.3647",), ("214748.3648",), (None,)], "p string").select(
         *[F.lit("1").alias(n) for n in names], F.col("p").cast("decimal(12,4)").alias("ProductionCost"))
-    got = [r.ProductionCost for r in to_serving(df, "products", "null").collect()]
-    assert got == [Decimal("214748.3647"), None, None]
+    got = [r.ProductionCost for r in fitting_rows(df, "products").collect()]
+    assert got == [Decimal("214748.3647"), None]
+    assert [r.value for r in rejected_values(df, "products").collect()] == ["214748.3648"]
+
+
+# --- scale ----------------------------------------------------------------
+
+def test_busy_store_keeps_its_average(spark):
+    lines = spark.createDataFrame(
+        [(1, "Sale", f"I{k}", Decimal("900000"), datetime.date(2024, 1, 5)) for k in range(4)],
+        "StoreID int, TransactionType string, InvoiceID string, LineTotalUSD decimal(10,4), Date date")
+    names = [f.name for f in schemas.STORES.fields if f.name != "StoreID"]
+    stores = spark.createDataFrame([(1,)], "StoreID int").select(
+        "StoreID", *[F.lit(None).cast(schemas.STORES[n].dataType).alias(n) for n in names])
+    out = gold.gold_stores(stores, gold.store_metrics(lines)).first()
+    assert (out.AverageMonthlyUSD, out.TotalTransactions) == (3_600_000, 4)
+
+
+def test_store_metrics_has_no_expand(spark):
+    lines = spark.createDataFrame(
+        [(1, "Sale", "A", Decimal("1"), datetime.date(2024, 1, 31)), (1, "Sale", "A", Decimal("1"), datetime.date(2024, 2, 1)),
+         (1, "Return", "B", Decimal("-1"), datetime.date(2024, 2, 1)), (1, "Sale", None, Decimal("1"), None)],
+        "StoreID int, TransactionType string, InvoiceID string, LineTotalUSD decimal(10,4), Date date")
+    out = gold.store_metrics(lines)
+    assert "Expand" not in out._jdf.queryExecution().toString()
+    r = out.first()
+    assert (r.TotalTransactions, r.TotalReturns, r.MonthsWithTransactions) == (1, 1, 2)

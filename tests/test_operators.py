@@ -103,7 +103,7 @@ def test_split_by_schema(spark):
     good = quality.conforming_rows(raw, schemas.EMPLOYEES)
     bad = quality.rejected_rows(raw, schemas.EMPLOYEES)
     assert [r[0] for r in rows(good)] == [1]
-    assert sorted(r[-1] for r in rows(bad)) == ["EmployeeID", "EmployeeID,Name", "Name"]
+    assert sorted(r.missing_columns for r in bad.collect()) == ["EmployeeID", "EmployeeID,Name", "Name"]
 
 
 # --- numbering ------------------------------------------------------------
@@ -277,3 +277,33 @@ def test_translate_names(spark):
     assert {r[0] for r in rows(joins.names_to_translate(people, flag))} == {"王伟", "李"}
     left = quality.untranslated(joins.translate_names(people, words, flag), flag)
     assert [r.id for r in left.collect()] == [3]
+
+
+def test_rank_keeps_small_differences(spark):
+    df = spark.createDataFrame([(1, 0.00001), (2, 0.00002), (3, 0.00003), (4, None)], "k int, v double")
+    out = numbering.rank_scores(df, "k", {"up": F.col("v"), "down": numbering.descending(F.col("v"))})
+    assert {r.k: (r.up, r.down) for r in out.collect()} == {1: (2, 3), 2: (3, 2), 3: (4, 1), 4: (1, 4)}
+
+
+def test_malformed_values_are_rejected(spark):
+    raw = spark.createDataFrame(
+        [("1", "1", "n", "p"), ("x", "1", "n", "p"), ("2", "y", None, "p")],
+        "EmployeeID string, StoreID string, Name string, Position string")
+    assert [r.EmployeeID for r in quality.conforming_rows(raw, schemas.EMPLOYEES).collect()] == [1]
+    bad = {(r.missing_columns, r.malformed_columns) for r in quality.rejected_rows(raw, schemas.EMPLOYEES).collect()}
+    assert ("", "EmployeeID") in bad and ("Name", "StoreID") in bad
+
+
+def test_open_ended_promotion_lists_the_lines_months(spark):
+    promotions = spark.createDataFrame(
+        [(1, D(2020, 1, 1), D(9999, 12, 31), 0.5, "All", "All"), (2, D(2024, 1, 1), D(2024, 1, 31), 0.5, "A", "All")],
+        "DiscountID int, StartDate date, EndDate date, Discount double, Category string, SubCategory string")
+    lines = spark.createDataFrame(
+        [("a", 1, "Sale", 0.5, D(2024, 1, 10), "A", "x"), ("b", 1, "Sale", 0.5, D(2024, 3, 1), "B", "x"),
+         ("c", 1, "Return", 0.5, D(2024, 1, 10), "A", "x"), ("d", 1, "Sale", 0.4, D(2024, 1, 10), "A", "x")],
+        "InvoiceID string, Line int, TransactionType string, Discount double, Date date, Category string, SubCategory string")
+    assert joins.promotion_months(promotions, joins.date_span(lines)).count() == 4
+    every = sorted((r.InvoiceID, r.DiscountID) for r in joins.attach_discounts(lines, promotions).collect() if r.DiscountID)
+    assert every == [("a", 1), ("a", 2), ("b", 1)]
+    first = sorted((r.InvoiceID, r.DiscountID or 0) for r in joins.attach_discounts(lines, promotions, match="first").collect())
+    assert first == [("a", 1), ("b", 1), ("c", 0), ("d", 0)]

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connect, differences
 
-NAMES = list(entry.queries())
+NAMES = list(entry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +14,8 @@ def db(data):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

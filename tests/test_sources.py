@@ -69,11 +69,14 @@ def test_promote_checks_required_columns(spark, tmp_path):
         tables.promote_table(spark, a, b, schemas.EMPLOYEES)
 
 
-def test_spread_only_small_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert tables.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores * 2)
-    assert tables.spread(many, "id") is many
+def test_extend_adds_only_what_is_missing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "other"), (3, "c")], "k int, v string")
+    assert sorted(rows(tables.extend_table(spark, path, old, ["k"]))) == rows(old)
+    for _ in range(2):
+        out = tables.extend_table(spark, path, new, ["k"])
+        assert sorted((r.k, r.v) for r in out.collect()) == [(1, "a"), (2, "b"), (3, "c")]
 
 
 def test_jdbc_options():
