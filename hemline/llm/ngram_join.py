@@ -14,9 +14,11 @@ passage that many documents share is in few prefixes.
 1. In each token's bucket every node is paired with the smallest. Pairs that pass the
    point bound are verified on their sets. This collapses groups of near copies with a
    number of pairs that grows with the group, not its square.
-2. Tokens whose nodes still lie in two or more components are joined through an R-tree on
-   the points of their nodes; only pairs of different components whose bound reaches the
-   needed overlap come out, and are verified.
+2. The same once more in tokens whose nodes still lie in several components, with the
+   token's most central node, which is as a rule the text that near copies stem from.
+3. Tokens that are still open are joined through an R-tree on the points of their nodes;
+   only pairs of different components whose bound reaches the needed overlap come out,
+   and are verified. So the pairs that remain are those just below the threshold.
 
 No bucket, partner or candidate is capped. Linked documents end in one component.
 
@@ -198,7 +200,7 @@ def buckets(rows: DataFrame, counts: np.ndarray) -> DataFrame:
             take = (place < length[row]) & new[row]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes[order][take].view(np.int64)), pa.array(n[row[take]].astype(np.int32)),
-                 pa.array(keys[row[take]])], ["token", "n", "key"])
+                 pa.array(keys[row[take]]), pa.array(place[take].astype(np.int32))], ["token", "n", "key", "pos"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by token, size and key; a bucket may span batches."""
@@ -206,12 +208,12 @@ def buckets(rows: DataFrame, counts: np.ndarray) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token, n, key = (c.to_numpy() for c in batch.columns)
+            token, n, key, pos = (c.to_numpy() for c in batch.columns)
             fresh = np.ones(len(token), bool)  # a new token, or a new node of it
             fresh[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
             if last is not None and token[0] == last[0] and key[0] == last[2]:
                 fresh[0] = False
-            token, n, key = token[fresh], n[fresh], key[fresh]
+            token, n, key, pos = token[fresh], n[fresh], key[fresh], pos[fresh]
             if not len(token):
                 continue
             opens = np.ones(len(token), bool)
@@ -222,15 +224,15 @@ def buckets(rows: DataFrame, counts: np.ndarray) -> DataFrame:
             leader = np.where(first >= 0, key[first], last[3] if last is not None else 0)
             more = np.append(~opens[1:], False)  # another node of the same token follows here
             out = ~opens | more
-            held = [(last[0], last[1], last[2], last[3])] if not opens[0] and not last[4] else []
-            rows_ = [np.concatenate([np.array([h[i] for h in held], dtype), x[out]])
-                     for i, (dtype, x) in enumerate([(np.int64, token), (np.int32, n), (np.int64, key), (np.int64, leader)])]
-            last = (token[-1], n[-1], key[-1], leader[-1], bool(out[-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows_], ["token", "n", "key", "leader"])
+            held = [last[:5]] if not opens[0] and not last[5] else []
+            rows_ = [np.concatenate([np.array([h[i] for h in held], x.dtype), x[out]])
+                     for i, x in enumerate([token, n, key, leader, pos])]
+            last = (token[-1], n[-1], key[-1], leader[-1], pos[-1], bool(out[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows_], ["token", "n", "key", "leader", "pos"])
 
-    tokens = rows.mapInArrow(prefixes, "token long, n int, key long")
+    tokens = rows.mapInArrow(prefixes, "token long, n int, key long, pos int")
     dealt = tokens.repartition("token").sortWithinPartitions("token", "n", "key")
-    return dealt.mapInArrow(meet, "token long, n int, key long, leader long")
+    return dealt.mapInArrow(meet, "token long, n int, key long, leader long, pos int")
 
 
 def verify(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -302,36 +304,62 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
 
 
-def remaining(mixed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket whose R-tree bound allows a link."""
+def still_open(mixed: DataFrame, found: DataFrame) -> DataFrame:
+    """Staged (token, n, key, pos, component) of the tokens whose nodes lie in two components or more."""
     rows = mixed.join(found, mixed["key"] == found["node"], "left").select(
-        "token", "n", "key", F.coalesce("component", "key").alias("component"))
+        "token", "n", "key", "pos", F.coalesce("component", "key").alias("component"))
     rows = stage(rows, "bucket-components")
     # minima combine before the shuffle, so a token of very many nodes is no hot task here
     open_ = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
+    return stage(rows.join(open_.select("token"), "token"), "open-buckets")
+
+
+def central_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of each open token's most central node with the nodes of other components.
+
+    A node is central when it meets many others, summed over its tokens. The text that
+    near copies were made from is closer to all of them than they are to each other.
+    """
+    size = rows.groupBy("token").agg(F.count("*").alias("size"))
+    weight = rows.join(size, "token").groupBy("key").agg(F.sum("size").alias("weight"))
+    heavy = rows.join(weight, "key").groupBy("token").agg(
+        F.max(F.struct("weight", "key", "component")).alias("c"))
+    pairs = rows.join(heavy, "token").filter("component != c.component")
+    return pairs.select(F.least("key", "c.key").alias("a"), F.greatest("key", "c.key").alias("b")).distinct()
+
+
+def remaining(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of different components in one open bucket whose R-tree bound allows a link.
+
+    A pair that needs an overlap of k shares a token among the first n - k + 1 of either
+    set, so other meetings of it are passed over.
+    """
     point = nodes.groupBy("key").agg(F.first("point").alias("point"))
-    rows = rows.join(open_.select("token"), "token").join(point, "key").select("token", "n", "key", "component", "point")
+    rows = rows.join(point, "key").select("token", "n", "key", "component", "point", "pos")
 
-    def through_tree(n, key, comp, vectors) -> list[np.ndarray]:
+    def through_tree(n, key, comp, vectors, pos) -> list[np.ndarray]:
         if len(set(comp.tolist())) < 2:
             return []
         tree, out = RTree(vectors, n.astype(np.int64)), []
         for i in range(len(n)):
             near = tree.partners(vectors[i], int(n[i]))
-            near = near[(near > i) & (comp[near] != comp[i])]
+            need = needed(n[near].astype(np.int64), int(n[i]))
+            near = near[(near > i) & (comp[near] != comp[i]) & (pos[i] <= n[i] - need) & (pos[near] <= n[near] - need)]
             if len(near):
                 out.append(np.stack([np.minimum(key[near], key[i]), np.maximum(key[near], key[i])]))
         return out
 
-    def pair_by_pair(n, key, comp, vectors, run) -> list[np.ndarray]:
+    def pair_by_pair(n, key, comp, vectors, pos, run) -> list[np.ndarray]:
         """All pairs inside short runs; ``run`` numbers them, the rows of one stand together."""
         first = np.searchsorted(run, run, side="left")
         before = np.arange(len(run)) - first
         j = np.repeat(np.arange(len(run)), before)
         i = first[j] + np.arange(len(j)) - np.repeat(np.cumsum(before) - before, before)
         low, high = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
-        ok = (comp[i] != comp[j]) & (100 * low >= PERCENT * high)
-        i, j, need = i[ok], j[ok], needed(low[ok], high[ok])
+        need = needed(low, high)
+        ok = (comp[i] != comp[j]) & (100 * low >= PERCENT * high) \
+            & (pos[i] <= n[i] - need) & (pos[j] <= n[j] - need)
+        i, j, need = i[ok], j[ok], need[ok]
         out = []
         for lo in range(0, len(i), 1 << 15):
             part = slice(lo, lo + (1 << 15))
@@ -342,6 +370,16 @@ def remaining(mixed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list | None = None  # rows of the last token so far
+        gathered: list[np.ndarray] = []  # pairs meet in many tokens; each task sends a pair once a million
+
+        def sent(least: int) -> Iterator[pa.RecordBatch]:
+            if sum(g.shape[1] for g in gathered) > least:
+                a, b = np.unique(np.concatenate(gathered, 1), axis=1)
+                gathered.clear()
+                gathered.append(np.stack([a, b]))
+                if len(a) > least // 2:
+                    gathered.clear()
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         def close(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             token = cols[0]
@@ -353,14 +391,13 @@ def remaining(mixed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame
             found = pair_by_pair(*[c[short] for c in cols[1:]], number[short])
             for k in np.flatnonzero(size > SMALL):
                 found += through_tree(*[c[at[k]:at[k] + size[k]] for c in cols[1:]])
-            if found:
-                a, b = np.unique(np.concatenate(found, 1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            gathered.extend(found)
+            yield from sent(1 << 20)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(i).to_numpy() for i in range(4)] + [from_bytes(batch.column(4))]
+            cols = [batch.column(i).to_numpy() for i in range(4)] + [from_bytes(batch.column(4)), batch.column(5).to_numpy()]
             if held:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
             cut = int(np.searchsorted(cols[0], cols[0][-1]))
@@ -369,6 +406,7 @@ def remaining(mixed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame
                 yield from close([c[:cut] for c in cols])
         if held:
             yield from close(held)
+        yield from sent(0)
 
     dealt = rows.repartition("token").sortWithinPartitions("token")
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -385,8 +423,15 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stage(verify(rows, nodes, stage(bounded(stars, nodes), "star-pairs")), "star-links")
     release(docs.sparkSession)
     found = stage(components(links), "star-components")
+    open_ = still_open(mixed, found)
+    release(docs.sparkSession)
+    central = stage(verify(rows, nodes, stage(bounded(central_pairs(open_), nodes), "central-pairs")), "central-links")
+    if not central.isEmpty():
+        links = stage(links.unionByName(central), "links-so-far")
+        found = stage(components(links), "central-components")
+        open_ = still_open(open_.drop("component"), found)
     release(docs.sparkSession)
-    more = stage(verify(rows, nodes, stage(remaining(mixed, nodes, found), "open-pairs")), "open-links")
+    more = stage(verify(rows, nodes, stage(remaining(open_, nodes), "open-pairs")), "open-links")
     if not more.isEmpty():
         found = stage(components(links.unionByName(more)), "components")
     member = nodes.join(found, nodes["key"] == found["node"], "left").select(
