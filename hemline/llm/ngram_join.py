@@ -15,7 +15,8 @@ passage that many documents share is in few prefixes.
    point bound are verified on their sets. This collapses groups of near copies with a
    number of pairs that grows with the group, not its square.
 2. The same once more in tokens whose nodes still lie in several components, with the
-   token's most central node, which is as a rule the text that near copies stem from.
+   token's most central node, which is as a rule the text that near copies stem from, and
+   a few drawn ones.
 3. Tokens that are still open are joined through an R-tree on the points of their nodes;
    only pairs of different components whose bound reaches the needed overlap come out,
    and are verified. So the pairs that remain are those just below the threshold.
@@ -51,6 +52,8 @@ SMALL = 48
 CELLS = 1 << 18
 FANOUT = 16
 MEMBERS = 2000
+#: Nodes drawn in each open bucket, besides the most central one.
+DRAWN = 4
 
 
 def shingles(block: Block, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -314,18 +317,25 @@ def still_open(mixed: DataFrame, found: DataFrame) -> DataFrame:
     return stage(rows.join(open_.select("token"), "token"), "open-buckets")
 
 
-def central_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of each open token's most central node with the nodes of other components.
+def central_pairs(rows: DataFrame, drawn: int = DRAWN) -> DataFrame:
+    """Pairs of some nodes of each open token with its nodes of other components.
 
-    A node is central when it meets many others, summed over its tokens. The text that
-    near copies were made from is closer to all of them than they are to each other.
+    The nodes are the most central one and ``drawn`` by hashes of their keys, which favour
+    the same nodes in all tokens. A node is central when it meets many others, summed over
+    its tokens: the text that near copies were made from is closer to all of them than they
+    are to each other. Pairs grow with the bucket, not with its square.
     """
     size = rows.groupBy("token").agg(F.count("*").alias("size"))
     weight = rows.join(size, "token").groupBy("key").agg(F.sum("size").alias("weight"))
-    heavy = rows.join(weight, "key").groupBy("token").agg(
-        F.max(F.struct("weight", "key", "component")).alias("c"))
-    pairs = rows.join(heavy, "token").filter("component != c.component")
-    return pairs.select(F.least("key", "c.key").alias("a"), F.greatest("key", "c.key").alias("b")).distinct()
+    orders = [F.col("weight"), *[F.xxhash64(F.lit(k), F.col("key")) for k in range(drawn)]]
+    best = [F.max(F.struct(o.alias("order"), "key", "component")) for o in orders]
+    heavy = rows.join(weight, "key").groupBy("token").agg(*[x.alias(f"c{i}") for i, x in enumerate(best)])
+    centres = F.array_distinct(F.array(*[
+        F.struct(F.col(f"c{i}.key").alias("key"), F.col(f"c{i}.component").alias("component"))
+        for i in range(len(best))]))
+    met = rows.join(heavy.select("token", centres.alias("centres")), "token").select(
+        "key", F.explode(F.filter("centres", lambda c: c["component"] != F.col("component"))).alias("c"))
+    return met.select(F.least("key", "c.key").alias("a"), F.greatest("key", "c.key").alias("b")).distinct()
 
 
 def remaining(rows: DataFrame, nodes: DataFrame) -> DataFrame:
