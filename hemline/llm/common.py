@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hemline.sources.staging import staging_root
 
@@ -33,6 +33,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 #: Bytes of text handled at once; temporaries take about forty times that.
 BLOCK = 1 << 20
+#: Column of the number that ``numbered`` gives each row.
+ROW = "__row"
 
 _shipped: set[str] = set()
 
@@ -62,6 +64,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The rows staged with a number of their own in the column ROW, whatever their ids are."""
+    return stage(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now, not when its garbage is full."""
     spark.sparkContext._jvm.System.gc()

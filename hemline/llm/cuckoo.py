@@ -12,8 +12,9 @@ that makes up a third of all rows sends one row per partition, then in the diges
 
 Null text counts as empty; empty texts equal each other. Rows of one text and one id are
 separate rows of their group; all of them carry the kept id, and ``kept`` marks every row
-with that id. A null id sorts after all others. An empty table gives no rows. Other
-columns may have any names.
+with that id. A null id sorts after all others. ``unique_documents`` goes by rows instead:
+one row of a group stays, also when ids repeat or are null. An empty table gives no rows.
+Other columns may have any names.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hemline.llm.common import ship, stage
+from hemline.llm.common import ROW, numbered, ship, stage
 
 SLOTS = 4
 KICKS = 200
@@ -125,31 +126,31 @@ class Bucket:
             if all(self.filter.insert(d) for d in self.content):
                 return
 
-    def fold(self, rows: Iterable[tuple[bytes, int, int, int | None]]) -> None:
-        """Take in (digest, group size, length, id): sizes add up, the best row stays."""
-        for digest, size, length, key in rows:
+    def fold(self, rows: Iterable[tuple[bytes, int, int, int | None, int | None]]) -> None:
+        """Take in (digest, group size, length, id, row): sizes add up, the best row stays."""
+        for digest, size, length, key, row in rows:
             live = self.get(digest)
             if live is None:
-                self.insert(digest, [size, length, key])
+                self.insert(digest, [size, length, key, row])
                 continue
             live[0] += size
-            if (-length, key is None, key) < (-live[1], live[2] is None, live[2]):
-                live[1:] = length, key
+            if (-length, key is None, key, row is None, row) < (-live[1], live[2] is None, live[2], live[3] is None, live[3]):
+                live[1:] = length, key, row
 
 
 def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), BLANKS, "")
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, digest (binary) of the normalised text, length of the original in code points."""
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """doc_id, digest (binary) of the normalised text, length of the original in code points, and ``more``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).alias("doc_id"),
                        F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("digest"),
-                       F.length(text).cast("long").alias("length"))
+                       F.length(text).cast("long").alias("length"), *more)
 
 
-_ROW = "digest binary, size long, length long, doc_id long"
+_ROW = "digest binary, size long, length long, doc_id long, row long"
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,20 +158,22 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bucket.fold(zip(*[c.to_pylist() for c in batch.columns]))
     rows = bucket.content
-    values = list(zip(*rows.values())) or [[], [], []]
+    values = list(zip(*rows.values())) or [[], [], [], []]
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(rows), pa.binary()), *[pa.array(v, pa.int64()) for v in values]],
-        ["digest", "size", "length", "doc_id"])
+        ["digest", "size", "length", "doc_id", "row"])
 
 
 def build_index(rows: DataFrame) -> DataFrame:
     """The index of (doc_id, digest, length): one row per live digest, cut by digest.
 
-    Columns: digest, size of its group, length and doc_id of the row that stays.
+    Columns: digest, size of its group, length, doc_id and number of the row that stays; the
+    number is null unless ``rows`` has the column ``row``.
     """
     ship(rows.sparkSession)
+    row = F.col("row") if "row" in rows.columns else F.lit(None)
     single = rows.select("digest", F.lit(1).cast("long").alias("size"), "length",
-                         F.col("doc_id").cast("long").alias("doc_id"))
+                         F.col("doc_id").cast("long").alias("doc_id"), row.cast("long").alias("row"))
     return single.mapInArrow(_fold, _ROW).repartition("digest").mapInArrow(_fold, _ROW)
 
 
@@ -186,20 +189,20 @@ def delete(index: DataFrame, gone: DataFrame, column: str = "digest") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, leaving = Bucket(1024), []
         for batch in batches:
-            for digest, size, length, key in zip(*[c.to_pylist() for c in batch.columns]):
+            for digest, size, *rest in zip(*[c.to_pylist() for c in batch.columns]):
                 if size is None:
                     leaving.append(digest)
                 else:
-                    bucket.fold([(digest, size, length, key)])
+                    bucket.fold([(digest, size, *rest)])
         for digest in leaving:
             bucket.delete(digest)
         rows = bucket.content
-        values = list(zip(*rows.values())) or [[], [], []]
+        values = list(zip(*rows.values())) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(rows), pa.binary()), *[pa.array(v, pa.int64()) for v in values]],
-            ["digest", "size", "length", "doc_id"])
+            ["digest", "size", "length", "doc_id", "row"])
 
-    none = [F.lit(None).cast("long").alias(c) for c in ("size", "length", "doc_id")]
+    none = [F.lit(None).cast("long").alias(c) for c in ("size", "length", "doc_id", "row")]
     marks = gone.select(F.col(column).alias("digest"), *none).distinct()
     return index.unionByName(marks).repartition("digest").mapInArrow(run, _ROW)
 
@@ -215,7 +218,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+    """The documents that stay, one row of each group, with all their columns."""
+    rows = numbered(docs)
+    index = build_index(digests(rows, id_col, text_col, F.col(ROW).alias("row")))
+    kept = stage(index.select(F.col("row").alias("__kept")), "kept-rows")
+    return rows.join(kept, rows[ROW] == kept["__kept"], "left_semi").drop(ROW)

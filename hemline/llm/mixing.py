@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hemline.llm.common import SPACE_CLASS, WORD_CLASS, stage
+from hemline.llm.common import ROW, SPACE_CLASS, WORD_CLASS, numbered, stage
 
 #: Weights by rank of the source, repeated. Fixed values.
 WEIGHTS = (5, 2, 1)
@@ -69,15 +69,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source", weights: tuple[int, ...] = WEIGHTS,
-               share: float = SHARE, most: float = MOST_COPIES, salts: int = SALTS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies."""
+               share: float = SHARE, most: float = MOST_COPIES, salts: int = SALTS,
+               row_col: str | None = None) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, and ``row_col`` if given."""
+    own = [] if row_col is None else [row_col]
     rows = stage(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size")), "mix-sizes")
+        word_count(F.col(text_col)).alias("size"), *own), "mix-sizes")
     bits = F.length(F.bin("size"))
     # size classes a sixteenth of their octave wide; the salt splits documents of one size
     rows = rows.select(
-        "doc_id", "source", "size", bits.alias("bits"),
+        "doc_id", "source", "size", *own, bits.alias("bits"),
         F.floor(F.col("size") / F.pow(F.lit(2.0), F.greatest(bits - 5, F.lit(0)))).alias("step"),
         F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.lit(salts)).alias("salt"))
     group = ["source", "bits", "step", "salt"]
@@ -95,27 +97,25 @@ def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          & (inside["bits"] == classes["bits"]) & (inside["step"] == classes["step"])).select(
         *[inside[c] for c in group], (F.col("before") + F.col("lower")).alias("before"))
     same = [rows[c].eqNullSafe(starts[c]) if c == "source" else rows[c] == starts[c] for c in group]
-    within = Window.partitionBy("source", "bits", "step", "salt").orderBy("size", "doc_id")
+    within = Window.partitionBy("source", "bits", "step", "salt").orderBy("size", "doc_id", *own)
     placed = rows.join(starts, same).select(*[rows[c] for c in rows.columns], "before") \
         .withColumn("place", F.col("before") + F.row_number().over(within))
     out = placed.join(targets, placed["source"].eqNullSafe(targets["source"])).select(
-        "doc_id", placed["source"], "size", "source_size", "target", "place")
+        "doc_id", placed["source"], "size", "source_size", "target", "place", *own)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     digest = F.md5(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")))
     # a fraction of 20 bits stays exact when whole numbers are added to it
     offset = F.conv(F.substring(digest, 1, 5), 16, 10).cast("double") / F.lit(1048576.0)
     crossed = F.floor(offset + F.col("place") * rate) - F.floor(offset + (F.col("place") - 1) * rate)
     copies = F.least(crossed, F.lit(int(most))).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), *own)
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents themselves: each row repeated as often as it is taken."""
-    plan = mix_copies(docs, **options)
-    id_col = options.get("id_col", "doc_id")
-    wanted = plan.filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-    # ids are unique in documents; repeated ids take the same number of copies each
-    joined = docs.join(wanted.withColumnRenamed("doc_id", "__id"),
-                       docs[id_col].eqNullSafe(F.col("__id")))
+    rows = numbered(docs)
+    plan = mix_copies(rows, row_col=ROW, **options).filter("copies > 0")
+    wanted = plan.select(F.col(ROW).alias("__taken"), F.col("copies").alias("__copies"))
+    joined = rows.join(wanted, rows[ROW] == wanted["__taken"])
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))) \
-        .select(*[docs[c] for c in docs.columns])
+        .select(*[rows[c] for c in docs.columns])

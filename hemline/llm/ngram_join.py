@@ -25,7 +25,7 @@ No bucket, partner or candidate is capped. Linked documents end in one component
 
 Null or empty text, and text without words, has an empty set and is linked with nothing.
 Equal rows are one node. A null id is a member like others, but the component's id is the
-smallest id that is not null. An empty table gives no rows; other columns may have any
+smallest id that is not null; ``one_of_each`` goes by rows, not ids. An empty table gives no rows; other columns may have any
 names.
 """
 
@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hemline.llm.common import LOWER, Block, blocks, mix, prefix_hash, release, ship, span_hash, stage
+from hemline.llm.common import LOWER, ROW, Block, blocks, mix, numbered, prefix_hash, release, ship, span_hash, stage
 from hemline.llm.components import components
 
 SHINGLE = 5
@@ -422,8 +422,8 @@ def remaining(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component (a node, of no meaning where n_shingles is 0)."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     nodes, counts = nodes_and_counts(rows)
@@ -444,8 +444,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = stage(verify(rows, nodes, stage(remaining(open_, nodes), "open-pairs")), "open-links")
     if not more.isEmpty():
         found = stage(components(links.unionByName(more)), "components")
-    member = nodes.join(found, nodes["key"] == found["node"], "left").select(
+    return nodes.join(found, nodes["key"] == found["node"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component"))
+
+
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    member = members(docs, id_col, text_col)
     full = member.filter("n_shingles > 0")
     least = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return full.join(least, "component").select("doc_id", "n_shingles", "component_id").unionByName(
@@ -453,7 +458,15 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose id is that of their component, with all their columns."""
-    found = near_components(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = found.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+    """Of each component the row with the smallest id (null last, then by row), with all columns.
+
+    Rows with an empty set are linked with nothing, so all of them stay.
+    """
+    rows = numbered(docs)
+    member = members(rows, ROW, text_col).withColumnRenamed("doc_id", "__member")
+    ids = rows.select(F.col(ROW).alias("__number"), F.col(id_col).cast("long").alias("__id"))
+    full = member.filter("n_shingles > 0").join(ids, F.col("__member") == F.col("__number"))
+    first = F.min(F.struct(F.col("__id").isNull(), "__id", "__number"))
+    kept = full.groupBy("component").agg(first.alias("first")).select(F.col("first.__number").alias("__kept"))
+    kept = kept.unionByName(member.filter("n_shingles = 0").select(F.col("__member").alias("__kept")))
+    return rows.join(kept, rows[ROW] == kept["__kept"], "left_semi").drop(ROW)

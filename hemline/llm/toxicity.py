@@ -375,7 +375,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
 
 def clean_documents(docs: DataFrame, labels: DataFrame, train_on: DataFrame | None = None,
                     threshold: float = THRESHOLD) -> DataFrame:
-    """The documents scored below the threshold, with all their columns."""
+    """The documents scored below the threshold, with all their columns.
+
+    Each row is judged by its own score and passes by itself, so ids play no part.
+    """
+    ship(docs.sparkSession)
     model = train(docs if train_on is None else train_on, labels)
-    bad = score(docs, model).filter(F.col("score") >= threshold).select(F.col("doc_id").alias("__id"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            logits = block_logits(shared.value, block).astype(np.float64)
+            yield block.rows.filter(pa.array(1 / (1 + np.exp(-logits)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
