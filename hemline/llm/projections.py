@@ -15,8 +15,9 @@ the test still asks for; it is sent to these alone.
 
 Vectors that are null, zero, of another length than most, or that hold null or non-finite
 components take no part, nor do rows with a null id. Rows with the query's id are its own.
-Of rows that repeat a query's id the smallest vector is the query. With no rows there are
-no results. Other columns may have any names.
+Of rows that repeat a query's id the smallest vector is the query. Of rows that repeat
+another id the nearest counts, once: the k results have different ids. With no rows there
+are no results. Other columns may have any names.
 """
 
 from __future__ import annotations
@@ -94,12 +95,13 @@ class KdTree:
             rows = rows[np.argsort(points[rows, axis], kind="stable")]
             todo += [rows[:len(rows) // 2], rows[len(rows) // 2:]]
         self.ids, self.vectors, self.leaves = ids, vectors, leaves
+        self.repeats = len(np.unique(ids)) < len(ids)
         self.low = np.array([points[r].min(0) for r in leaves])
         self.high = np.array([points[r].max(0) for r in leaves])
 
     def search(self, key: int, vector: np.ndarray, point: np.ndarray, k: int, worst: float,
                confidence: float) -> tuple[np.ndarray, np.ndarray]:
-        """Squared distances and ids of up to k rows no farther than ``worst``, nearest first."""
+        """Squared distances and ids of up to k ids no farther than ``worst``, nearest first."""
         gap = np.maximum(np.maximum(self.low - point, point - self.high), 0)
         r2 = (gap * gap).sum(1)
         order = np.argsort(r2, kind="stable")
@@ -116,6 +118,10 @@ class KdTree:
             near = (d2 <= worst) & (self.ids[rows] != key)
             best_d = np.concatenate([best_d, d2[near]])
             best_i = np.concatenate([best_i, self.ids[rows][near]])
+            if self.repeats:  # the nearest row of each id
+                top = np.lexsort((best_d, best_i))
+                top = top[np.diff(best_i[top], prepend=best_i[top[:1]] - 1) != 0]
+                best_d, best_i = best_d[top], best_i[top]
             if len(best_d) > k:
                 top = np.lexsort((best_i, best_d))[:k]
                 best_d, best_i = best_d[top], best_i[top]
@@ -276,12 +282,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     stored = index.mapInArrow(index_rows, _ROWS)
     home = asked.withColumn("worst", F.lit(float("inf"))).mapInArrow(query_rows(True), _ROWS)
     top = Window.partitionBy("query_id").orderBy("d2", "vec_id")
-    first = stage(_search_rows(stored.unionByName(home), k, width, confidence).distinct().withColumn(
-        "rank", F.row_number().over(top)).filter(F.col("rank") <= k), "home-neighbours")
+    by_id = ["query_id", "vec_id"]
+    first = _search_rows(stored.unionByName(home), k, width, confidence).groupBy(*by_id).agg(F.min("d2").alias("d2"))
+    first = stage(first.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= k), "home-neighbours")
     bound = first.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("d2").alias("worst"))
     away = asked.join(bound, "vec_id", "left").select(
         "vec_id", "vec", "proj", F.coalesce("worst", F.lit(float("inf"))).alias("worst"))
     second = _search_rows(stored.unionByName(away.mapInArrow(query_rows(False), _ROWS)), k, width, confidence)
-    merged = first.drop("rank").unionByName(second).distinct().withColumn("rank", F.row_number().over(top))
+    merged = first.drop("rank").unionByName(second).groupBy(*by_id).agg(F.min("d2").alias("d2")) \
+        .withColumn("rank", F.row_number().over(top))
     return merged.filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.sqrt("d2").alias("score"))
