@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hemline.llm import cuckoo, mixing, ngram_join, packing, projections, quality, recompression, secrets, suffix_repeats, toxicity
+from hemline.llm import (alignment, conversations, cuckoo, maxscore, mixing, ngram_join, packing, projections, quality,
+                         recompression, secrets, suffix_repeats, toxicity)
 from hemline.llm.common import read_table
 
 
@@ -54,6 +55,20 @@ def op10_stable_projections(spark: SparkSession, folder: str) -> DataFrame:
     return projections.nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    aligned = alignment.align(read_table(spark, folder, "documents"), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "conversations")
+    return conversations.repair_report(rows, conversations.damage(rows))
+
+
+def op13_maxscore(spark: SparkSession, folder: str) -> DataFrame:
+    return maxscore.top_products(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_concatenate_and_cut": op1_concatenate_and_cut,
     "op2_passage_attention": op2_passage_attention,
@@ -65,4 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_stable_projections": op10_stable_projections,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_maxscore": op13_maxscore,
 }
