@@ -38,7 +38,7 @@ from hemline.llm.packing import VOCABULARY, ids_of
 
 PIECES = "piece_bpe_32k.model"
 #: Bytes of text whose pairs travel as one block.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 #: Pieces that A encodes at once, and links of a group from which on it goes by distinct ids.
 RUN, LARGE = 4096, 256
 

@@ -84,13 +84,13 @@ def expected(rows):
     return out, counts
 
 
-@pytest.mark.parametrize("block,run,large", [(4 << 20, 4096, 256), (3000, 5, 2)])
+@pytest.mark.parametrize("block,run,large", [(2 << 20, 4096, 256), (3000, 5, 2)])
 def test_alignment(docs, rows, monkeypatch, block, run, large):
     monkeypatch.setattr(alignment, "BLOCK", block)
     want, counts = expected(rows)
     got = Counter(tuple(r) for r in alignment.align(docs).collect())
     assert got == want
-    if block < 4 << 20:
+    if block < 2 << 20:
         return
     hashed = Counter((r.doc_id, r.groups) for r in alignment.align(docs, digest=True).collect())
     assert hashed == Counter({(k[0], hashlib.sha256(k[-1].encode()).hexdigest() if k[-1] else ""): 0 for k in want}) + \
