@@ -102,3 +102,100 @@ FROM d LEFT JOIN t USING (row) GROUP BY row, doc_id
 
 
 ORACLES["op9_secret_scan"] = _secrets()
+
+
+ORACLES["op13_maxscore"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (SELECT vec_id, min(vec) AS vec FROM v GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vec, c.vec)::BIGINT AS score
+      FROM u q JOIN u c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+def _conversations() -> str:
+    """The damage, and the table of (cost, audit, lines) by state, row after row."""
+    def add(way: str, cost: str, letters: str, lines: str = "''") -> str:
+        return f"{{'c': ({way}).c + {cost}, 'a': ({way}).a || '{letters}', 'l': ({way}).l || {lines}}}"
+
+    def some(way: str, test: str) -> str:
+        return f"CASE WHEN ({way}) IS NOT NULL AND {test} THEN {{0}} END"
+
+    def least(ways: list[tuple[str, str, str]]) -> str:
+        return "list_min(list_filter([" + ", ".join(some(w, t).format(x) for w, t, x in ways) + \
+            "], lambda x: x IS NOT NULL))"
+
+    u, a = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+
+    def inserts(state: int) -> list[tuple[int, str, str]]:
+        """State reached, letters and lines of no, one and two inserts."""
+        out, letters, lines = [(state, "", "''")], "", []
+        for _ in range(2):
+            state = 3 if state == 2 else 2
+            letters, lines = letters + "I", lines + [a if state == 3 else u]
+            out.append((state, letters, " || ".join(lines)))
+        return out
+
+    middle = {t: [] for t in range(4)}
+    for s in range(4):
+        for t, letters, lines in inserts(s):
+            middle[t].append((f"w.s{s}", "true", add(f"w.s{s}", str(5 * len(letters)), letters, lines)))
+    before = ", ".join(f"{least(ways)} AS m{t}" for t, ways in middle.items())
+    own, text = "chr(10) || d.role || ':' || d.text", "d.text"
+    stays, more = "d.fault IN (0, 3)", "CASE WHEN d.fault = 3 THEN 5 ELSE 0 END"
+    into = {t: [(f"m{t}", "true", add(f"m{t}", "2", "D"))] for t in range(4)}
+    for s, letter, t in ((0, "s", 1), (0, "u", 2), (1, "u", 2), (3, "u", 2), (2, "a", 3)):
+        into[t].append((f"m{s}", f"{stays} AND d.role[1] = '{letter}'", add(f"m{s}", more, "K", own)))
+        if letter != "s":
+            into[t].append((f"m{s}", stays, add(f"m{s}", f"1 + {more}", "R", f"{u if letter == 'u' else a} || {text}")))
+    after = ", ".join(f"{least(ways)} AS s{t}" for t, ways in into.items())
+    ends = least([("s0", "true", "s0"), ("s1", "true", add("s1", "10", "II", f"{u} || {a}")),
+                  ("s2", "true", add("s2", "5", "I", a)), ("s3", "true", "s3")])
+    way = "NULL::STRUCT(c BIGINT, a VARCHAR, l VARCHAR)"
+    white = r"[\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE tab AS (
+  SELECT list(list_reduce(list_prepend(n::BIGINT, range(8)),
+                          lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM range(256) r(n)),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             list_reduce(list_prepend(4294967295, list_transform(
+                 string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                 lambda x: ord(x)::BIGINT)), lambda c, b: xor(c >> 8, tab.t[(xor(c, b) & 255) + 1])) AS crc
+      FROM conversations, tab),
+p AS (SELECT *, xor(crc, 4294967295) % 20 AS part FROM k),
+g AS (SELECT conv_id, turn, CASE WHEN part = 4 THEN 'user' ELSE role END AS role,
+             CASE part WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE WHEN part = 3 THEN [0, 1] ELSE [0] END) AS time
+      FROM p WHERE part <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, time) AS i,
+             regexp_replace(text, '{white}+$', '') AS shown FROM g),
+d AS (SELECT *, CASE WHEN shown = '' THEN 1
+                     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                     WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+             lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM o),
+w AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'l': ''}} AS s0, {way} AS s1, {way} AS s2, {way} AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT d.conv_id, d.i, {after}
+  FROM (SELECT w.conv_id, w.i, {before} FROM w) w JOIN d ON d.conv_id IS NOT DISTINCT FROM w.conv_id AND d.i = w.i + 1),
+z AS (SELECT conv_id, {ends} AS best FROM w
+      QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+             count(*) FILTER (fault = 3) AS truncated,
+             count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM d GROUP BY conv_id)
+SELECT z.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, best.c AS cost, best.a AS audit,
+       sha256(substr(best.l, 2)) AS repaired_sha256
+FROM z LEFT JOIN n ON z.conv_id IS NOT DISTINCT FROM n.conv_id
+"""
+
+
+ORACLES["op12_conversation_repair"] = _conversations()
