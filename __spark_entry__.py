@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 import uuid
@@ -17,7 +18,7 @@ from hemline.functions import lookups as L  # noqa: E402
 from hemline.functions.phone import phone_shape  # noqa: E402
 from hemline.functions.text import default_nulls, standardize_columns  # noqa: E402
 from hemline.operators import joins, quality  # noqa: E402
-from hemline.plans import gold, lookups, reports, silver  # noqa: E402
+from hemline.plans import flow, gold, lookups, reports, silver  # noqa: E402
 from hemline.sources import delimited, star_retail, tables  # noqa: E402
 from hemline.sources.serving import fitting_rows, rejected_values  # noqa: E402
 from hemline.sources.staging import stage, staging_root  # noqa: E402
@@ -47,7 +48,8 @@ class Shop:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return silver.transactions(self.bronze("transactions"))
+        lines = self.bronze("transactions")
+        return silver.transactions(lines, quality.repeat_filter(lines, *silver.LINE_KEY))
 
     @cached_property
     def span(self) -> DataFrame:
@@ -99,8 +101,9 @@ class Shop:
 
     @cached_property
     def lines(self) -> DataFrame:
+        """Line items as the reports read them, without places."""
         return gold.line_items(
-            self.transactions, self.places, self.products, self.discounts, self.rates, self.span
+            self.transactions, None, self.products, self.discounts, self.rates, self.span
         )
 
     @cached_property
@@ -211,6 +214,26 @@ def rates_extended(t: Shop) -> DataFrame:
                                schemas.EXCHANGE_RATES)
 
 
+def invoice_fact_incremental(t: Shop) -> DataFrame:
+    """Invoices stored without the lines from 1998 on, then brought up to date month by month."""
+    path = t.path("invoice-fact")
+    early = t.transactions.filter("Timestamp < TIMESTAMP'1998-01-01'")
+    flow.refresh_invoices(path, early, t.places, t.rates)
+    flow.refresh_invoices(path, t.transactions, t.places, t.rates)
+    return tables.read_table(t.spark, path)
+
+
+def csv_rejects(t: Shop) -> DataFrame:
+    """Records of customers as lines of text, some with a field too many, some cut short."""
+    path, k = t.path("customer-lines"), F.col("CustomerID")
+    line = F.concat_ws(",", k.cast("string"), F.col("Email"), F.col("Gender"), F.col("DateOfBirth").cast("string"))
+    kept = t.bronze("customers").filter("Email IS NOT NULL AND DateOfBirth IS NOT NULL")
+    kept.select(F.when(k % 37 == 0, F.concat(line, F.lit(",more"))).when(
+        k % 41 == 0, F.concat_ws(",", k.cast("string"), "Email")).otherwise(line)).write.text(path)
+    layout = schemas._layout("CustomerID", CustomerID="integer", Email="string", Gender="string", DateOfBirth="date")
+    return delimited.broken_records(delimited.read_csv_text(t.spark, path, layout, header=False, records=True))
+
+
 def malformed_customers(t: Shop) -> DataFrame:
     """Customers as text, some with an id that is no number or a day that is none."""
     text = t.bronze("customers")
@@ -276,6 +299,13 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
         t.spark.read.parquet(f"{t.folder}/lineitem.parquet"), "l_orderkey", "l_linenumber"),
     "dedup_transactions": lambda t: quality.drop_duplicate_rows(twice(t)).select(
         "InvoiceID", "Line", "SKU", "LineTotal"),
+    "dedup_by_key": lambda t: quality.drop_duplicate_rows(t.bronze("transactions"), *silver.LINE_KEY).select(
+        "InvoiceID", "Line", "SKU", "LineTotal"),
+    "key_violations": lambda t: quality.key_violations(
+        t.spark.read.parquet(f"{t.folder}/lineitem.parquet"), "l_orderkey", "l_linenumber"),
+    "gold_key_violations": lambda t: quality.key_violations(
+        stage(t.lines.select(*gold.LINE_ORDER), "line-keys"), *gold.LINE_ORDER),
+    "csv_rejects": csv_rejects,
     "check_emails": lambda t: quality.check_emails(t.bronze("customers")),
     "check_phone_prefix": lambda t: quality.check_phone_prefix(t.customers),
     "country_distribution": lambda t: quality.value_counts(t.bronze("stores"), "Country"),
@@ -326,11 +356,12 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "silver_products": lambda t: t.products,
     "silver_discounts": lambda t: t.discounts,
     "silver_stores": lambda t: t.stores,
-    "silver_transactions": lambda t: silver.transactions(t.bronze("transactions")),
+    "silver_transactions": lambda t: t.transactions,
     # gold: rates, invoices, lines
     "exchange_rates": lambda t: t.rates,
     "rates_extended": rates_extended,
     "invoice_fact": lambda t: t.invoices,
+    "invoice_fact_incremental": invoice_fact_incremental,
     "fx_invoice": lambda t: t.invoices.select(
         "InvoiceID", "Date", "Currency", "InvoiceTotal", "InvoiceTotalUSD"),
     "fx_missing": lambda t: joins.missing_rates(t.line_dims, t.rates),
@@ -421,7 +452,15 @@ def _registered(build: Callable[[Shop], DataFrame]) -> Callable[[SparkSession, s
     return lambda spark, folder: _comparable(build(Shop(spark, folder.rstrip("/"))))
 
 
-try:  # the operators for training data live in folders of their own and may be left out
+def _there(module: str) -> bool:
+    """Whether the module's file is there; one that is but fails to import is an error."""
+    spec = importlib.util.find_spec(module)
+    return spec is not None and spec.origin is not None
+
+
+LLM_QUERIES, LLM_ORACLES = {}, {}
+# the operators for training data live in folders of their own and may be left out
+if _there("corpus_pipeline") and _there("hemline.llm"):
     import corpus_pipeline
     from hemline.llm.entry import QUERIES as LLM_QUERIES
     from hemline.llm.oracles import ORACLES as LLM_ORACLES
@@ -429,8 +468,6 @@ try:  # the operators for training data live in folders of their own and may be
     LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
     if corpus_pipeline.ORACLE_SQL:
         LLM_ORACLES = LLM_ORACLES | {"pipeline": corpus_pipeline.ORACLE_SQL}
-except ImportError:
-    LLM_QUERIES, LLM_ORACLES = {}, {}
 
 
 def entry(spark: SparkSession) -> DataFrame:

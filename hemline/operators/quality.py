@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from hemline.functions.lookups import STORE_WIDE_DISCOUNTS
 from hemline.functions.text import has_chinese
+from hemline.sources.staging import stage
 
 
 # --- null and duplicate profiles ------------------------------------------
@@ -102,8 +103,62 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     return _copies(df, keys, "duplicate_keys")
 
 
-def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+def key_violations(df: DataFrame, *keys: str, bits: int | None = None) -> DataFrame:
+    """The keys that more than one row has, and how many; none if the keys identify rows.
+
+    Only hashed keys are exchanged for all rows; the keys themselves for rows that the filter
+    over repeated hashes lets through.
+    """
+    bits = bits or REPEAT_BITS
+    suspects = _marked(df.select(*keys), keys, repeat_filter(df, *keys, bits=bits), bits).filter("_repeated")
+    return suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+
+
+#: Bits of the filter that tells repeated keys: 16 MB, so that a task can hold it.
+REPEAT_BITS = 1 << 27
+
+
+def _key_place(keys: Sequence[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(bits))
+
+
+def repeat_filter(df: DataFrame, *keys: str, bits: int = REPEAT_BITS) -> DataFrame:
+    """A staged bitmap filter over the keys that occur more than once.
+
+    It never misses a repeated key; a key that occurs once passes as repeated with the chance
+    that is the share of set bits. It has ``bits`` / 8 bytes at most, whatever the table's size.
+    Only hashed keys, counted before their shuffle, are exchanged for it.
+    """
+    counted = df.groupBy(F.xxhash64(*keys).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    place = counted.filter("_n > 1").select(F.pmod("_key", F.lit(bits)).alias("_place"))
+    return stage(place.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bitmap")), "repeat-filter")
+
+
+def drop_duplicate_rows(df: DataFrame, *keys: str, repeats: DataFrame | None = None,
+                        bits: int = REPEAT_BITS) -> DataFrame:
+    """Each different row once.
+
+    Without keys all rows are exchanged over all columns. With keys that tell most rows apart,
+    rows whose key occurs once (by ``repeats``, the table's ``repeat_filter`` with as many bits)
+    pass as they are, pruned and unexchanged; only the others are compared. Equal rows have equal
+    keys, so the result is the same.
+    """
+    if not keys:
+        return df.dropDuplicates()
+    repeats = repeat_filter(df, *keys, bits=bits) if repeats is None else repeats
+    marked = _marked(df, keys, repeats, bits)
+    once = marked.filter(~F.col("_repeated")).select(*df.columns)
+    return once.unionByName(marked.filter("_repeated").select(*df.columns).dropDuplicates())
+
+
+def _marked(df: DataFrame, keys: Sequence[str], repeats: DataFrame, bits: int) -> DataFrame:
+    """The rows with ``_repeated``: whether the filter holds their key. It has ``bits`` / 8 bytes at most."""
+    place = _key_place(keys, bits)
+    spot = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bitmap", (F.floor(spot / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return df.join(F.broadcast(repeats), F.bitmap_bucket_number(place) == F.col("_bucket"), "left").withColumn(
+        "_repeated", F.col("_bitmap").isNotNull() & (F.getbit(byte, (spot % 8).cast("int")) == 1))
 
 
 # --- whole-column checks --------------------------------------------------

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hemline import schemas
 from hemline.operators.joins import missing_rates
-from hemline.operators.quality import conforming_rows, rejected_rows
+from hemline.operators.quality import conforming_rows, key_violations, rejected_rows
 from hemline.plans import gold, reports, silver
-from hemline.sources.delimited import read_csv_text
-from hemline.sources.tables import Catalog, extend_table, promote_table, read_table, write_verified
+from hemline.sources.delimited import broken_records, read_csv_text, whole_records
+from hemline.sources.staging import Scope, stage
+from hemline.sources.tables import Catalog, extend_table, promote_table, read_table, write_mode
+from hemline.sources.versions import Refresh, refresh_table, replace_table
 
 PROMOTED = ("discounts", "products", "employees")
 
@@ -32,21 +34,30 @@ def run_silver(spark: SparkSession, catalog: Catalog,
     """Clean all bronze tables into silver; returns the write checks.
 
     Rows that lack a required value or hold a malformed one don't stop the run: they are
-    stored as ``rejected_<table>``, with what is wrong, and reported. Silver is built whole
-    from bronze, so a rerun replaces it.
+    stored as ``rejected_<table>``, with what is wrong, and reported; records with too few or
+    too many fields as ``broken_<table>``, as they stand in the file. Silver is built whole
+    from bronze, so a rerun replaces it; readers see the old tables until the new ones are checked.
     """
+    with Scope(spark):
+        return _run_silver(spark, catalog, translations)
+
+
+def _run_silver(spark: SparkSession, catalog: Catalog, translations: DataFrame | None) -> DataFrame:
     checks = {}
 
     def bronze(name: str) -> DataFrame:
         schema = schemas.BRONZE[name]
-        raw = read_csv_text(spark, catalog.bronze(name), schema)
-        checks[f"rejected_{name}"] = write_verified(
-            rejected_rows(raw, schema), catalog.silver(f"rejected_{name}"), fmt=catalog.fmt)
+        text = read_csv_text(spark, catalog.bronze(name), schema, records=True)
+        raw = whole_records(text)
+        checks[f"broken_{name}"] = replace_table(
+            broken_records(text), catalog.silver(f"broken_{name}"), catalog.fmt)
+        checks[f"rejected_{name}"] = replace_table(
+            rejected_rows(raw, schema), catalog.silver(f"rejected_{name}"), catalog.fmt)
         return conforming_rows(raw, schema)
 
     def write(name: str, df: DataFrame) -> None:
         conformed = gold.shaped(df, schemas.SILVER[name])
-        checks[name] = write_verified(conformed, catalog.silver(name), fmt=catalog.fmt)
+        checks[name] = replace_table(conformed, catalog.silver(name), catalog.fmt)
 
     write("employees", silver.employees(bronze("employees"), translations))
     staff = read_table(spark, catalog.silver("employees"), schemas.EMPLOYEES, catalog.fmt)
@@ -54,29 +65,50 @@ def run_silver(spark: SparkSession, catalog: Catalog,
     write("customers", silver.customers(bronze("customers"), translations))
     write("products", silver.products(bronze("products")))
     write("discounts", silver.discounts(bronze("discounts")))
-    write("transactions", silver.transactions(bronze("transactions")))
+    # read three times to tell copies, so the text is parsed once
+    write("transactions", silver.transactions(stage(bronze("transactions"), "typed-transactions")))
     return _report(checks)
 
 
+def refresh_invoices(path: str, transactions: DataFrame, stores: DataFrame, rates: DataFrame,
+                     fmt: str = "parquet") -> Refresh:
+    """Bring stored invoices up to date, month by month; an invoice's lines of one day are one row."""
+    return refresh_table(
+        path,
+        {"transactions": (transactions, F.to_date("Timestamp")), "rates": (rates, F.col("RateDate")),
+         "stores": (stores, None)},
+        lambda t: gold.invoice_fact(t["transactions"], t["stores"], t["rates"]), "Date", "transactions", fmt)
+
+
 def run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day: datetime.date,
              last_day: datetime.date, as_of: datetime.date | None = None,
-             match: str = "all") -> DataFrame:
+             match: str = "all", environment: str = "dev") -> DataFrame:
     """Build all gold tables from silver; returns the write checks.
 
-    Gold is built whole from silver, so a rerun replaces every table whatever the
-    environment's write mode: appending would count each line again. Rates alone are
-    kept: months that are not stored yet are built from ``feed`` and added. Months and
+    Where the environment's write mode is overwrite, every table is built whole. Where it
+    is append, invoices are refreshed: only months whose lines, stores or rates changed are
+    built again, and months that came are added. Line items are numbered over the whole table
+    and customers and stores summed over all lines, so these are always built whole; appending
+    to them would count each line again. Rates are kept: months that are not stored yet are
+    built from ``feed`` and added. Lines that share invoice, number and promotion are stored
+    as ``key_violations``, with how many they are, and reported. Months and
     currencies without a rate, whose amounts stay as they are, are stored as
     ``missing_rates`` and reported. ``match="first"`` gives each line one promotion at
     most. Without ``as_of`` ages and recency count to the month after the last line.
     """
+    with Scope(spark):
+        return _run_gold(spark, catalog, feed, first_day, last_day, as_of, match, environment)
+
+
+def _run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day: datetime.date,
+              last_day: datetime.date, as_of: datetime.date | None, match: str, environment: str) -> DataFrame:
     checks = {}
 
     def stored(name: str) -> DataFrame:
         return read_table(spark, catalog.silver(name), schemas.SILVER[name], catalog.fmt)
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        checks[name] = write_verified(df, catalog.gold(name), fmt=catalog.fmt)
+        checks[name] = replace_table(df, catalog.gold(name), catalog.fmt)
         return read_table(spark, catalog.gold(name), fmt=catalog.fmt)
 
     bounds = spark.range(1).select(
@@ -87,13 +119,18 @@ def run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day:
         ["RateDate", "BaseCurrency", "TargetCurrency"], schemas.EXCHANGE_RATES, catalog.fmt,
     )
     sales, stores, products = stored("transactions"), stored("stores"), stored("products")
-    invoices = write("invoice_fact", gold.invoice_fact(sales, stores, rates))
+    if write_mode(environment) == "append":
+        refresh_invoices(catalog.gold("invoice_fact"), sales, stores, rates, catalog.fmt)
+        invoices = read_table(spark, catalog.gold("invoice_fact"), fmt=catalog.fmt)
+    else:
+        invoices = write("invoice_fact", gold.invoice_fact(sales, stores, rates))
     write("missing_rates", missing_rates(invoices, rates))
     lines = write(
         "invoice_line_items",
         gold.invoice_line_items(sales, stores, products, stored("discounts"), rates,
                                 gold.line_span(sales), match),
     )
+    write("key_violations", key_violations(lines, *gold.LINE_ORDER))
     for name in PROMOTED:
         promote_table(spark, catalog.silver(name), catalog.gold(name), schemas.SILVER[name],
                       fmt=catalog.fmt)

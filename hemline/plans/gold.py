@@ -84,14 +84,16 @@ def invoice_fact(transactions: DataFrame, stores: DataFrame, rates: DataFrame) -
 # --- line items -----------------------------------------------------------
 
 def line_items_with_dimensions(
-    transactions: DataFrame, stores: DataFrame, products: DataFrame
+    transactions: DataFrame, stores: DataFrame | None, products: DataFrame
 ) -> DataFrame:
-    """Lines with their day, product group, unit cost and store place."""
+    """Lines with their day, product group, unit cost and, with ``stores``, store place."""
     lines = transactions.withColumn("Date", F.to_date("Timestamp")).drop("Timestamp")
     lines = attach(
         lines, products, "ProductID",
         {"Category": "Category", "SubCategory": "SubCategory", "ProductionCost": "ProductionCost"},
     )
+    if stores is None:
+        return lines
     return attach(lines, stores, "StoreID", {"Country": "Country", "City": "City"})
 
 
@@ -114,17 +116,20 @@ def with_margin(lines: DataFrame) -> DataFrame:
 
 
 def line_items(
-    transactions: DataFrame, stores: DataFrame, products: DataFrame,
+    transactions: DataFrame, stores: DataFrame | None, products: DataFrame,
     discounts: DataFrame, rates: DataFrame, span: DataFrame | None = None, match: str = "all",
 ) -> DataFrame:
     """Gold line items but for the surrogate key; lazy, so reports stay prunable.
 
-    ``span`` holds the first and last day of the lines, if it is known more cheaply.
+    Without ``stores`` the lines have no place: no report needs it, and a left join on a key
+    that may repeat is never pruned. ``span`` holds the first and last day of the lines, if it
+    is known more cheaply.
     """
     lines = line_items_with_dimensions(transactions, stores, products)
     lines = to_usd(lines, rates, "LineTotal", "LineTotalUSD")
+    absent = {"LineItemID"} if stores is not None else {"LineItemID", "Country", "City"}
     return with_margin(attach_discounts(lines, discounts, span, match)).select(
-        *[c for c in schemas.INVOICE_LINE_ITEMS.names if c != "LineItemID"]
+        *[c for c in schemas.INVOICE_LINE_ITEMS.names if c not in absent]
     )
 
 

@@ -127,5 +127,13 @@ def clean_transactions(df: DataFrame) -> DataFrame:
     return standardize_columns(df, ["Color", "TransactionType", "PaymentMethod"])
 
 
-def transactions(bronze: DataFrame) -> DataFrame:
-    return clean_transactions(drop_duplicate_rows(bronze))
+#: Tells lines apart but for copies.
+LINE_KEY = ("InvoiceID", "Line")
+
+
+def transactions(bronze: DataFrame, repeats: DataFrame | None = None) -> DataFrame:
+    """Clean lines without copies; ``repeats`` is their ``repeat_filter`` over LINE_KEY, if it is at hand.
+
+    The lines are read up to three times, so they are best stored or staged.
+    """
+    return clean_transactions(drop_duplicate_rows(bronze, *LINE_KEY, repeats=repeats))

@@ -46,11 +46,27 @@ class Catalog:
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                fmt: str = "parquet") -> DataFrame:
-    """Scan a stored table; with a schema, conform to it and check required columns."""
-    df = spark.read.format(fmt).load(path)
+    """Scan a stored table, versioned or plain; with a schema, conform to it and check required columns."""
+    from hemline.sources.versions import read_version
+
+    df = read_version(spark, path, fmt)
+    if df is None:
+        df = spark.read.format(fmt).load(path)
     return enforce_schema(df, schema) if schema is not None else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute an input whose files give fewer tasks than there are cores.
+
+    A table of a few small files would otherwise keep one core busy through every stage up
+    to the next shuffle. A table with enough files is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.select(*keys).rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 partition_by: tuple[str, ...] = ()) -> None:
     """Write with as many tasks as the data has partitions.
@@ -91,6 +107,11 @@ def write_verified(df: DataFrame, path: str, mode: str = "overwrite",
 
 def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The stored table, or None where there is no folder or no file in it."""
+    from hemline.sources.versions import read_version
+
+    versioned = read_version(spark, path, fmt)
+    if versioned is not None:
+        return versioned
     try:
         return spark.read.format(fmt).load(path)
     except AnalysisException as problem:
@@ -125,5 +146,11 @@ def extend_table(spark: SparkSession, path: str, rows: DataFrame, keys: list[str
 def promote_table(spark: SparkSession, source: str, target: str, schema: StructType,
                   mode: str = "overwrite", fmt: str = "parquet") -> DataFrame:
     """Copy a silver table unchanged to gold, conforming to its schema."""
-    write_table(read_table(spark, source, schema, fmt), target, mode, fmt)
+    from hemline.sources.versions import replace_table
+
+    rows = read_table(spark, source, schema, fmt)
+    if mode == "overwrite":
+        replace_table(rows, target, fmt)
+    else:
+        write_table(rows, target, mode, fmt)
     return read_table(spark, target, fmt=fmt)

@@ -544,6 +544,17 @@ _PLAIN: dict[str, str] = {
                       "FROM lineitem",
     "dedup_transactions": "SELECT InvoiceID, Line, SKU, CAST(LineTotal AS DOUBLE) AS LineTotal "
                           "FROM (SELECT DISTINCT * FROM b_transactions)",
+    "dedup_by_key": "SELECT InvoiceID, Line, SKU, CAST(LineTotal AS DOUBLE) AS LineTotal "
+                    "FROM (SELECT DISTINCT * FROM b_transactions)",
+    "key_violations": "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem "
+                      "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
+    "gold_key_violations": "SELECT InvoiceID, Line, DiscountID, count(*) AS copies FROM numbered "
+                           "GROUP BY ALL HAVING count(*) > 1",
+    "csv_rejects": """SELECT CustomerID || ',' || Email || CASE WHEN CustomerID % 37 = 0
+            THEN ',' || Gender || ',' || DateOfBirth || ',more' ELSE '' END AS record,
+            CASE WHEN CustomerID % 37 = 0 THEN 4 ELSE 2 END AS values_found
+        FROM b_customers WHERE Email IS NOT NULL AND DateOfBirth IS NOT NULL
+            AND (CustomerID % 37 = 0 OR CustomerID % 41 = 0)""",
     "check_emails": """SELECT count(*) AS total_count, count(*) FILTER (WHERE contains(Email, '@'))
         AS valid_count, count(*) = count(*) FILTER (WHERE contains(Email, '@')) AS all_valid
         FROM b_customers""",
@@ -603,6 +614,7 @@ _PLAIN: dict[str, str] = {
     "exchange_rates": f"SELECT {doubles('ExchangeRate')} FROM rates",
     "rates_extended": f"SELECT {doubles('ExchangeRate')} FROM rates",
     "invoice_fact": _INVOICES,
+    "invoice_fact_incremental": _INVOICES,
     "fx_invoice": """SELECT InvoiceID, Date, Currency, CAST(InvoiceTotal AS DOUBLE) AS InvoiceTotal,
         CAST(InvoiceTotalUSD AS DOUBLE) AS InvoiceTotalUSD FROM invoices""",
     "fx_missing": f"""SELECT {_MONTH.format(d='Date')} AS Month, Currency, count(*) AS row_count

@@ -37,10 +37,23 @@ def test_numbered_tables_are_plain_scans(shop):
 
 def test_scans_read_only_what_is_used(shop):
     text = plan(entry.reports.margin_by_category(shop.lines))
+    # rows whose key occurs once come first; only suspects are compared in all bronze columns
     line_scan = next(x for x in text.splitlines() if "lineitem.parquet" in x)
-    # duplicate rows are told by all bronze columns
-    for unused in ("l_tax", "l_returnflag", "l_shipdate"):
+    for unused in ("l_tax", "l_returnflag", "l_shipdate", "l_linestatus"):
         assert unused not in line_scan
+    assert "nation.parquet" not in text  # no report on margins needs the stores
+
+
+def test_only_suspected_copies_are_exchanged_over_all_columns(shop):
+    """Above the filter over repeated keys, which suspects alone pass, and nowhere else."""
+    text = plan(shop.transactions).splitlines()
+    wide = [i for i, x in enumerate(text) if "Exchange hashpartitioning" in x and x.count(",") > 15]
+    assert len(wide) == 1
+    below = text[wide[0]:]
+    kept = next(x for x in below if " Filter " in x)
+    assert "_bitmap" in kept and "Union" in "".join(text[:wide[0]])
+    once = text[next(i for i, x in enumerate(text) if "Union" in x):wide[0]]
+    assert not any("Exchange hashpartitioning" in x and "SKU" in x for x in once)
     part_scan = next(x for x in text.splitlines() if "part.parquet" in x)
     assert "p_size" not in part_scan and "p_name" not in part_scan
 
@@ -51,7 +64,8 @@ def test_dimension_joins_shuffle_when_they_are_large(spark, shop):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(entry.reports.margin_by_category(entry.Shop(spark, shop.folder).lines))
-        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+        # the filter over repeated keys has 16 MB at most, whatever the tables' sizes
+        assert all("_bucket#" in x for x in text.splitlines() if "BroadcastHashJoin" in x) and "SortMergeJoin" in text
         assert "NestedLoop" not in text and "Cartesian" not in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
