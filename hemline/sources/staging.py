@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,21 @@ def reads(readers, paths: list[str]) -> set[str]:
     return {names[part] for f in files for part in f.split("/")[-3:] if part in names}
 
 
+#: Spark's setting that lets a finished write delete its own shuffle files.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Writes inside delete their shuffle files when they are done, not when the driver's garbage is full."""
+    before = spark.conf.get(_FREE, "false")
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREE, before)
+
+
 def staged_path(spark: SparkSession, label: str) -> str:
     """A new path under the staging folder, owned by the scope at work, if there is one."""
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
@@ -107,5 +123,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new staged table and return it as read back."""
     spark = df.sparkSession
     path = staged_path(spark, label)
-    df.write.parquet(path)
+    with freed_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
