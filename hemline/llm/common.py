@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -17,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hemline.sources.staging import staging_root
+from hemline.sources.staging import freed_shuffles, staged_path
 
 #: White space of the contracts: blank and \x09-\x0D. Fixed values.
 SPACE = np.zeros(256, bool)
@@ -59,8 +58,9 @@ def ship(spark: SparkSession) -> None:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and return it as read back."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    path = staged_path(spark, label)
+    with freed_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -69,11 +69,6 @@ def numbered(df: DataFrame) -> DataFrame:
     return stage(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now, not when its garbage is full."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

@@ -38,8 +38,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hemline.llm.common import LOWER, ROW, Block, blocks, mix, numbered, prefix_hash, release, ship, span_hash, stage
+from hemline.llm.common import LOWER, ROW, Block, blocks, mix, numbered, prefix_hash, ship, span_hash, stage
 from hemline.llm.components import components
+from hemline.sources.staging import Scope
 
 SHINGLE = 5
 PERCENT = 75
@@ -167,11 +168,20 @@ def nodes_and_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
     found = stage(rows.mapInArrow(run, "doc_id long, n long, key long, point binary, cells binary"), "sets")
 
     def add(key, table):
-        total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column("cells").to_pylist())
+        total = sum(np.frombuffer(x, np.int64) for x in table.column("cells").to_pylist())
         return pa.table({"n": [key[0].as_py()], "cells": [total.tobytes()]})
 
-    # one row per scan partition in each of 64 groups, then 64 rows in all
-    sums = found.filter("cells IS NOT NULL").groupBy("n").applyInArrow(add, "n long, cells binary")
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((64, CELLS // 64), np.int64)
+        for batch in batches:
+            for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[n] += np.frombuffer(raw, np.uint32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(64)), pa.array([x.tobytes() for x in sums], pa.binary())], ["n", "cells"])
+
+    # a task's rows become 64, a group then holds one row per task, and 64 rows are left
+    sums = found.filter("cells IS NOT NULL").select("n", "cells").mapInArrow(partial, "n long, cells binary")
+    sums = sums.groupBy("n").applyInArrow(add, "n long, cells binary")
     counts = np.zeros(CELLS, np.int64)
     for r in sums.collect():
         width = CELLS // 64
@@ -238,11 +248,10 @@ def buckets(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     return dealt.mapInArrow(meet, "token long, n int, key long, leader long, pos int")
 
 
-def verify(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The links (a, b) among candidate pairs (a, b) of keys, by overlap of their sets.
+def candidate_sets(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """key, members (64-bit hashes) and short (their lowest 16 bits, sorted) of the nodes in some pair; staged.
 
-    The sets of the nodes in question are computed anew from one document each. A pair
-    sends b's set to a; an ``a`` with many partners is dealt over several tasks.
+    The sets are computed anew from one document of each node.
     """
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     owners = nodes.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
@@ -252,13 +261,35 @@ def verify(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             hashes, at, keys = _sets(block)
-            raw = hashes.tobytes()
+            sets = [hashes[a:b] for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array([raw[8 * a:8 * b] for a, b in zip(at[:-1], at[1:])], pa.binary())],
-                ["key", "members"])
+                [pa.array(keys), pa.array([x.tobytes() for x in sets], pa.binary()),
+                 pa.array([np.sort(x.astype(np.uint16)).tobytes() for x in sets], pa.binary())],
+                ["key", "members", "short"])
+
+    found = texts.mapInArrow(run, "key long, members binary, short binary")
+    return stage(found.join(wanted, "key", "left_semi").dropDuplicates(["key"]), "candidate-sets")
+
+
+def common_members(mine: np.ndarray, other: np.ndarray) -> int:
+    """Overlap of two sorted sets of hashes."""
+    place = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
+    return int((mine[place] == other).sum())
+
+
+def common_counts(mine: np.ndarray, other: np.ndarray) -> int:
+    """Sum of minima of the counts of two sorted lists: a bound of the overlap of the sets they shorten."""
+    value, count = np.unique(other, return_counts=True)
+    held = np.searchsorted(mine, value, "right") - np.searchsorted(mine, value, "left")
+    return int(np.minimum(count, held).sum())
+
+
+def reaching(pairs: DataFrame, sets: DataFrame, column: str, kind: type, common) -> DataFrame:
+    """The pairs (a, b) whose overlap, by ``common`` over that column, reaches what a link needs.
 
-    sets = stage(texts.mapInArrow(run, "key long, members binary").join(wanted, "key", "left_semi")
-                 .dropDuplicates(["key"]), "candidate-sets")
+    A pair sends b's list to a; an ``a`` with many partners is dealt over several tasks.
+    """
+    sets = sets.select("key", F.col(column).alias("members"))
     size = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     salted = pairs.join(size, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("salt"))
     partners = salted.join(sets, salted["b"] == sets["key"]).select("a", "salt", "b", "members")
@@ -266,34 +297,53 @@ def verify(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"),
         F.lit(None).cast("long").alias("b"), "members")
 
-    def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, mine = None, None
         for batch in batches:
             a, b = [], []
             for x, _, y, members in zip(*[c.to_pylist() for c in batch.columns]):
-                other = np.frombuffer(members, np.uint64)
+                other = np.frombuffer(members, kind)
                 if y is None:
                     key, mine = x, other
                     continue
-                if key != x:
-                    continue
-                place = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
-                if int((mine[place] == other).sum()) >= needed(len(mine), len(other)):
+                if key == x and common(mine, other) >= needed(len(mine), len(other)):
                     a.append(x)
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     dealt = own.unionByName(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", "b")
-    return dealt.mapInArrow(overlap, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def verify(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
+    """The staged links (a, b) among candidate pairs (a, b) of keys, by overlap of their sets.
+
+    A list of the hashes' lowest 16 bits, counts in 65,536 groups, takes a quarter of a set's bytes and
+    bounds its overlap, so pairs that are no links seldom send their sets.
+    """
+    with Scope(rows.sparkSession) as scope:
+        pairs = stage(pairs, f"{label}-pairs")
+        sets = candidate_sets(rows, nodes, pairs)
+        near = stage(reaching(pairs, sets, "short", np.uint16, common_counts), f"{label}-near")
+        return scope.keep(stage(reaching(near, sets, "members", np.uint64, common_members), f"{label}-links"))
+
+
+def linked(links: DataFrame, label: str) -> DataFrame:
+    """The staged components of links."""
+    with Scope(links.sparkSession) as scope:
+        return scope.keep(stage(components(links), label))
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs whose sizes and points allow a link."""
-    point = nodes.groupBy("key").agg(F.first("n").alias("n"), F.first("point").alias("point"))
-    left = point.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
-    right = point.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
-    both = pairs.join(left, "a").join(right, "b").filter(
-        (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")))
+    size = nodes.groupBy("key").agg(F.first("n").alias("n"))
+    pairs = pairs.join(size.select(F.col("key").alias("a"), F.col("n").alias("na")), "a").join(
+        size.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
+    # points are wide: they are joined to the pairs that their sizes leave
+    pairs = pairs.filter((100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")))
+    point = nodes.groupBy("key").agg(F.first("point").alias("point"))
+    both = pairs.join(point.select(F.col("key").alias("a"), F.col("point").alias("pa")), "a").join(
+        point.select(F.col("key").alias("b"), F.col("point").alias("pb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,10 +361,11 @@ def still_open(mixed: DataFrame, found: DataFrame) -> DataFrame:
     """Staged (token, n, key, pos, component) of the tokens whose nodes lie in two components or more."""
     rows = mixed.join(found, mixed["key"] == found["node"], "left").select(
         "token", "n", "key", "pos", F.coalesce("component", "key").alias("component"))
-    rows = stage(rows, "bucket-components")
-    # minima combine before the shuffle, so a token of very many nodes is no hot task here
-    open_ = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-    return stage(rows.join(open_.select("token"), "token"), "open-buckets")
+    with Scope(mixed.sparkSession) as scope:
+        rows = stage(rows, "bucket-components")
+        # minima combine before the shuffle, so a token of very many nodes is no hot task here
+        open_ = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
+        return scope.keep(stage(rows.join(open_.select("token"), "token"), "open-buckets"))
 
 
 def central_pairs(rows: DataFrame, drawn: int = DRAWN) -> DataFrame:
@@ -424,28 +475,28 @@ def remaining(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per document: doc_id, n_shingles, component (a node, of no meaning where n_shingles is 0)."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    nodes, counts = nodes_and_counts(rows)
-    mixed = stage(buckets(rows, counts), "buckets")
-    release(docs.sparkSession)
-    stars = mixed.filter("leader != key").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-    links = stage(verify(rows, nodes, stage(bounded(stars, nodes), "star-pairs")), "star-links")
-    release(docs.sparkSession)
-    found = stage(components(links), "star-components")
-    open_ = still_open(mixed, found)
-    release(docs.sparkSession)
-    central = stage(verify(rows, nodes, stage(bounded(central_pairs(open_), nodes), "central-pairs")), "central-links")
-    if not central.isEmpty():
-        links = stage(links.unionByName(central), "links-so-far")
-        found = stage(components(links), "central-components")
-        open_ = still_open(open_.drop("component"), found)
-    release(docs.sparkSession)
-    more = stage(verify(rows, nodes, stage(remaining(open_, nodes), "open-pairs")), "open-links")
-    if not more.isEmpty():
-        found = stage(components(links.unionByName(more)), "components")
-    return nodes.join(found, nodes["key"] == found["node"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component"))
+    with Scope(spark) as scope:
+        nodes, counts = nodes_and_counts(rows)
+        mixed = stage(buckets(rows, counts), "buckets")
+        stars = mixed.filter("leader != key").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
+        links = verify(rows, nodes, bounded(stars, nodes), "star")
+        found = linked(links, "star-components")
+        open_ = still_open(mixed, found)
+        scope.drop(mixed)
+        central = verify(rows, nodes, bounded(central_pairs(open_), nodes), "central")
+        if not central.isEmpty():
+            links = stage(links.unionByName(central), "links-so-far")
+            found = linked(links, "central-components")
+            before, open_ = open_, still_open(open_.drop("component"), found)
+            scope.drop(before)
+        more = verify(rows, nodes, remaining(open_, nodes), "open")
+        if not more.isEmpty():
+            found = linked(links.unionByName(more), "components")
+        return scope.keep(nodes.join(found, nodes["key"] == found["node"], "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component")))
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
