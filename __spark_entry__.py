@@ -17,9 +17,9 @@ from hemline import schemas  # noqa: E402
 from hemline.functions import lookups as L  # noqa: E402
 from hemline.functions.phone import phone_shape  # noqa: E402
 from hemline.functions.text import default_nulls, standardize_columns  # noqa: E402
-from hemline.operators import joins, quality  # noqa: E402
+from hemline.operators import joins, quality, sketches  # noqa: E402
 from hemline.plans import flow, gold, lookups, reports, silver  # noqa: E402
-from hemline.sources import delimited, star_retail, tables  # noqa: E402
+from hemline.sources import delimited, star_retail, tables, versions  # noqa: E402
 from hemline.sources.serving import fitting_rows, rejected_values  # noqa: E402
 from hemline.sources.staging import stage, staging_root  # noqa: E402
 from oracles.sql import ORACLES  # noqa: E402
@@ -223,6 +223,77 @@ def invoice_fact_incremental(t: Shop) -> DataFrame:
     return tables.read_table(t.spark, path)
 
 
+def gold_customers_bucketed(t: Shop) -> DataFrame:
+    """Gold customers from customers and metrics that are stored in buckets alike."""
+    layout = flow.customer_layout(t.spark)
+    people, metrics = t.path("silver-customers"), t.path("customer-metrics")
+    versions.replace_table(gold.shaped(t.customers, schemas.CUSTOMERS), people, layout=layout)
+    versions.replace_table(gold.customer_metrics(t.lines), metrics, layout=layout)
+    return gold.gold_customers(
+        tables.read_table(t.spark, people, schemas.CUSTOMERS, bare=("CustomerID",)),
+        tables.read_table(t.spark, metrics))
+
+
+def stored_customer_lookups(t: Shop) -> DataFrame:
+    """One customer by id, one by mail and one by telephone, from the stored gold table."""
+    path = t.path("gold-customers")
+    versions.replace_table(t.gold_customers, path,
+                           layout=flow.customer_layout(t.spark, bloom=flow.LOOKUP_COLUMNS))
+    people = tables.read_table(t.spark, path)
+    found = {
+        "id": lookups.customer_by_id(people, 42),
+        "email": lookups.customer_by_email(people, "user43@example.com"),
+        "phone": lookups.customer_by_phone(people, "+333315"),
+    }
+    return reduce(DataFrame.unionByName, [df.withColumn("Lookup", F.lit(by)) for by, df in found.items()])
+
+
+def stored_customer_invoices(t: Shop) -> DataFrame:
+    """A customer's invoices from the stored table, which is sorted by customer."""
+    path = t.path("invoice-fact")
+    versions.replace_table(t.invoices, path, layout=flow.INVOICE_LAYOUT)
+    return lookups.customer_invoices(tables.read_table(t.spark, path), 42)
+
+
+def customers_by_name_ci_ai(t: Shop) -> DataFrame:
+    """Names with accents in every second row, found by a prefix without any."""
+    accented = F.when(F.col("CustomerID") % 2 == 0, F.translate("Name", "An", "Áñ")).otherwise(F.col("Name"))
+    return lookups.customers_by_name(
+        t.customers.withColumn("Name", accented), "aNN", collation="UNICODE_CI_AI")
+
+
+def spending_summary_merged(t: Shop) -> DataFrame:
+    """Summaries stored for the months before 1998, brought up to date, merged and held against the rows."""
+    path, invoices = t.path("invoice-summaries"), stage(t.invoices, "invoices")
+    flow.refresh_summaries(path, invoices.filter("Date < DATE'1998-01-01'"))
+    flow.refresh_summaries(path, invoices)
+    merged = stage(sketches.merged_summary(tables.read_table(t.spark, path), *flow.SUMMARISED), "merged")
+    # three times the bound that one quantile keeps in 99 of 100 sketches
+    checks = reduce(DataFrame.unionByName, [
+        sketches.quartiles_within(invoices, merged, c, 3 * sketches.rank_error()) for c in flow.SUMMARISED])
+    figures = ("mean", "stddev", "min", "max")
+    return merged.select("metric", "count", *[F.round(c, 2).alias(c) for c in figures]).join(checks, "metric")
+
+
+def load_or_build(t: Shop) -> DataFrame:
+    """Products built and stored by the first call, read by the second, which must not build."""
+    path = t.path("products")
+    tables.load_or_build(t.spark, path, lambda: t.products, schemas.PRODUCTS)
+    return tables.load_or_build(t.spark, path, lambda: t.products.limit(0), schemas.PRODUCTS)
+
+
+def flow_report(t: Shop) -> DataFrame:
+    """The whole stored flow: bronze tables as CSV, silver, gold, and the write checks of both."""
+    catalog = tables.Catalog(t.path("lake"))
+    for name in schemas.BRONZE:
+        delimited.write_csv(t.bronze(name), catalog.bronze(name))
+    first, last = t.bronze("month_bounds").select("first_day", "last_day").first()
+    done = flow.run_silver(t.spark, catalog, t.translations).withColumn("layer", F.lit("silver"))
+    more = flow.run_gold(t.spark, catalog, t.bronze("rates_feed"), first, last).withColumn("layer", F.lit("gold"))
+    # months with a rate of their own are not all in the feed: what is missing is another query's matter
+    return done.unionByName(more)
+
+
 def csv_rejects(t: Shop) -> DataFrame:
     """Records of customers as lines of text, some with a field too many, some cut short."""
     path, k = t.path("customer-lines"), F.col("CustomerID")
@@ -306,6 +377,8 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "gold_key_violations": lambda t: quality.key_violations(
         stage(t.lines.select(*gold.LINE_ORDER), "line-keys"), *gold.LINE_ORDER),
     "csv_rejects": csv_rejects,
+    "load_or_build": load_or_build,
+    "flow_report": flow_report,
     "check_emails": lambda t: quality.check_emails(t.bronze("customers")),
     "check_phone_prefix": lambda t: quality.check_phone_prefix(t.customers),
     "country_distribution": lambda t: quality.value_counts(t.bronze("stores"), "Country"),
@@ -394,6 +467,8 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
         "CustomerID", "IsParent", "TotalSpending", "NoOfInvoices", "AverageSpending"),
     "spending_summary": lambda t: rounded(quality.summary_table(
         t.enriched, "TotalSpending", "NoOfInvoices", "AverageSpending")),
+    "spending_summary_merged": spending_summary_merged,
+    "gold_customers_bucketed": gold_customers_bucketed,
     "customer_rfm": lambda t: t.rfm,
     "rfm_scores": lambda t: gold.rfm_scores(t.rfm),
     "rfm_table": lambda t: gold.rfm_table(t.rfm),
@@ -428,6 +503,9 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "customer_by_email": lambda t: lookups.customer_by_email(t.customers, "user43@example.com"),
     "customer_by_phone": lambda t: lookups.customer_by_phone(t.customers, "+333315"),
     "customers_by_name": lambda t: lookups.customers_by_name(t.customers, "ann"),
+    "customers_by_name_ci_ai": customers_by_name_ci_ai,
+    "stored_customer_lookups": stored_customer_lookups,
+    "stored_customer_invoices": stored_customer_invoices,
     "customer_invoices": lambda t: lookups.customer_invoices(t.invoices, 42),
 }
 

@@ -277,16 +277,25 @@ def _typed(schema: StructType) -> list[Column]:
     return [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
 
 
-def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns, order and types of ``schema``; a NULL in a required column fails."""
+def enforce_schema(df: DataFrame, schema: StructType, bare: tuple[str, ...] = ()) -> DataFrame:
+    """Columns, order and types of ``schema``; a NULL in a required column fails.
+
+    ``bare`` columns are checked by a filter and stay the scan's own columns, so a table
+    bucketed by them is still known to be.
+    """
+
+    def problem(field) -> Column:
+        return F.raise_error(F.lit(f"NULL in required column {field.name}"))
 
     def column(field) -> Column:
         value = F.col(field.name).cast(field.dataType)
-        if not field.nullable:
-            problem = F.raise_error(F.lit(f"NULL in required column {field.name}"))
-            value = F.coalesce(value, problem.cast(field.dataType))
+        if not field.nullable and field.name not in bare:
+            value = F.coalesce(value, problem(field).cast(field.dataType))
         return value.alias(field.name)
 
+    for field in schema.fields:
+        if field.name in bare and not field.nullable:
+            df = df.filter(F.when(F.col(field.name).isNull(), problem(field).cast("boolean")).otherwise(True))
     return df.select(*[column(f) for f in schema.fields])
 
 

@@ -15,12 +15,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hemline import schemas
 from hemline.operators.joins import missing_rates
 from hemline.operators.quality import conforming_rows, key_violations, rejected_rows
+from hemline.operators.sketches import part_summaries
 from hemline.plans import gold, reports, silver
 from hemline.sources.delimited import broken_records, read_csv_text, whole_records
 from hemline.sources.staging import Scope, stage
-from hemline.sources.tables import Catalog, extend_table, promote_table, read_table, write_mode
+from hemline.sources.tables import Catalog, Layout, extend_table, promote_table, read_table, write_mode
 from hemline.sources.versions import Refresh, refresh_table, replace_table
 
+#: Invoice columns whose summaries are kept by month.
+SUMMARISED = ("InvoiceTotal", "InvoiceTotalUSD")
+#: Columns by which dashboards look up one customer.
+LOOKUP_COLUMNS = ("Email", "Telephone")
+#: Files of the invoices, for a customer's history: a busy customer takes several files.
+INVOICE_LAYOUT = Layout(range_by=("CustomerID", "Date", "InvoiceID"))
+
+
+def customer_layout(spark: SparkSession, buckets: int | None = None, bloom: tuple[str, ...] = ()) -> Layout:
+    """Files of the tables with one row per customer, all dealt alike so that they join as they lie."""
+    return Layout(("CustomerID",), buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), bloom=bloom)
+
+
 PROMOTED = ("discounts", "products", "employees")
 
 
@@ -30,19 +44,21 @@ def _report(checks: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_silver(spark: SparkSession, catalog: Catalog,
-               translations: DataFrame | None = None) -> DataFrame:
+               translations: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
     """Clean all bronze tables into silver; returns the write checks.
 
     Rows that lack a required value or hold a malformed one don't stop the run: they are
     stored as ``rejected_<table>``, with what is wrong, and reported; records with too few or
     too many fields as ``broken_<table>``, as they stand in the file. Silver is built whole
     from bronze, so a rerun replaces it; readers see the old tables until the new ones are checked.
+    Customers lie in ``buckets`` files by CustomerID (as many as shuffle partitions unless given).
     """
     with Scope(spark):
-        return _run_silver(spark, catalog, translations)
+        return _run_silver(spark, catalog, translations, buckets)
 
 
-def _run_silver(spark: SparkSession, catalog: Catalog, translations: DataFrame | None) -> DataFrame:
+def _run_silver(spark: SparkSession, catalog: Catalog, translations: DataFrame | None,
+                buckets: int | None) -> DataFrame:
     checks = {}
 
     def bronze(name: str) -> DataFrame:
@@ -55,14 +71,14 @@ def _run_silver(spark: SparkSession, catalog: Catalog, translations: DataFrame |
             rejected_rows(raw, schema), catalog.silver(f"rejected_{name}"), catalog.fmt)
         return conforming_rows(raw, schema)
 
-    def write(name: str, df: DataFrame) -> None:
+    def write(name: str, df: DataFrame, layout: Layout | None = None) -> None:
         conformed = gold.shaped(df, schemas.SILVER[name])
-        checks[name] = replace_table(conformed, catalog.silver(name), catalog.fmt)
+        checks[name] = replace_table(conformed, catalog.silver(name), catalog.fmt, layout=layout)
 
     write("employees", silver.employees(bronze("employees"), translations))
     staff = read_table(spark, catalog.silver("employees"), schemas.EMPLOYEES, catalog.fmt)
     write("stores", silver.stores(bronze("stores"), staff))
-    write("customers", silver.customers(bronze("customers"), translations))
+    write("customers", silver.customers(bronze("customers"), translations), customer_layout(spark, buckets))
     write("products", silver.products(bronze("products")))
     write("discounts", silver.discounts(bronze("discounts")))
     # read three times to tell copies, so the text is parsed once
@@ -80,9 +96,18 @@ def refresh_invoices(path: str, transactions: DataFrame, stores: DataFrame, rate
         lambda t: gold.invoice_fact(t["transactions"], t["stores"], t["rates"]), "Date", "transactions", fmt)
 
 
+def refresh_summaries(path: str, invoices: DataFrame, fmt: str = "parquet") -> Refresh:
+    """Bring stored summaries of invoice totals up to date; only months that changed are read for them again."""
+    def build(t):
+        monthly = t["invoices"].withColumn("Month", F.to_date(F.trunc("Date", "month")))
+        return part_summaries(monthly, "Month", *SUMMARISED)
+
+    return refresh_table(path, {"invoices": (invoices, F.col("Date"))}, build, "Month", "invoices", fmt)
+
+
 def run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day: datetime.date,
              last_day: datetime.date, as_of: datetime.date | None = None,
-             match: str = "all", environment: str = "dev") -> DataFrame:
+             match: str = "all", environment: str = "dev", buckets: int | None = None) -> DataFrame:
     """Build all gold tables from silver; returns the write checks.
 
     Where the environment's write mode is overwrite, every table is built whole. Where it
@@ -94,21 +119,24 @@ def run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day:
     as ``key_violations``, with how many they are, and reported. Months and
     currencies without a rate, whose amounts stay as they are, are stored as
     ``missing_rates`` and reported. ``match="first"`` gives each line one promotion at
-    most. Without ``as_of`` ages and recency count to the month after the last line.
+    most. Without ``as_of`` ages and recency count to the month after the last line. Customers
+    and their metrics lie in ``buckets`` files by CustomerID, as in silver, and are joined without
+    an exchange; invoices written whole are sorted by customer.
     """
     with Scope(spark):
-        return _run_gold(spark, catalog, feed, first_day, last_day, as_of, match, environment)
+        return _run_gold(spark, catalog, feed, first_day, last_day, as_of, match, environment, buckets)
 
 
 def _run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day: datetime.date,
-              last_day: datetime.date, as_of: datetime.date | None, match: str, environment: str) -> DataFrame:
+              last_day: datetime.date, as_of: datetime.date | None, match: str, environment: str,
+              buckets: int | None) -> DataFrame:
     checks = {}
 
-    def stored(name: str) -> DataFrame:
-        return read_table(spark, catalog.silver(name), schemas.SILVER[name], catalog.fmt)
+    def stored(name: str, *bare: str) -> DataFrame:
+        return read_table(spark, catalog.silver(name), schemas.SILVER[name], catalog.fmt, bare)
 
-    def write(name: str, df: DataFrame) -> DataFrame:
-        checks[name] = replace_table(df, catalog.gold(name), catalog.fmt)
+    def write(name: str, df: DataFrame, layout: Layout | None = None) -> DataFrame:
+        checks[name] = replace_table(df, catalog.gold(name), catalog.fmt, layout=layout)
         return read_table(spark, catalog.gold(name), fmt=catalog.fmt)
 
     bounds = spark.range(1).select(
@@ -123,7 +151,8 @@ def _run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day:
         refresh_invoices(catalog.gold("invoice_fact"), sales, stores, rates, catalog.fmt)
         invoices = read_table(spark, catalog.gold("invoice_fact"), fmt=catalog.fmt)
     else:
-        invoices = write("invoice_fact", gold.invoice_fact(sales, stores, rates))
+        invoices = write("invoice_fact", gold.invoice_fact(sales, stores, rates), INVOICE_LAYOUT)
+    refresh_summaries(catalog.gold("invoice_summaries"), invoices, catalog.fmt)
     write("missing_rates", missing_rates(invoices, rates))
     lines = write(
         "invoice_line_items",
@@ -135,8 +164,9 @@ def _run_gold(spark: SparkSession, catalog: Catalog, feed: DataFrame, first_day:
         promote_table(spark, catalog.silver(name), catalog.gold(name), schemas.SILVER[name],
                       fmt=catalog.fmt)
     write("stores", gold.gold_stores(stores, gold.store_metrics(lines)))
-    metrics = write("customer_metrics", gold.customer_metrics(lines))
+    metrics = write("customer_metrics", gold.customer_metrics(lines), customer_layout(spark, buckets))
     day = None if as_of is None else F.lit(as_of)
-    people = write("customers", gold.gold_customers(stored("customers"), metrics, day))
+    people = write("customers", gold.gold_customers(stored("customers", "CustomerID"), metrics, day),
+                   customer_layout(spark, buckets, LOOKUP_COLUMNS))
     write("segment_metrics", reports.segment_metrics(people))
     return _report(checks)

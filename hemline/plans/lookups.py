@@ -44,11 +44,18 @@ def customer_by_id(customers: DataFrame, customer_id: int) -> DataFrame:
 
 
 def customers_by_name(
-    customers: DataFrame, prefix: str, n: int = 20, case_sensitive: bool = False
+    customers: DataFrame, prefix: str, n: int = 20, case_sensitive: bool = False,
+    collation: str | None = None,
 ) -> DataFrame:
-    """The first ``n`` customers, by id, whose name starts with ``prefix``."""
+    """The first ``n`` customers, by id, whose name starts with ``prefix``.
+
+    With a collation, such as ``UNICODE_CI_AI`` for neither case nor accents, its rules decide
+    what is equal, as a database's would, and ``case_sensitive`` is not asked.
+    """
     name, start = F.col("Name"), F.lit(prefix)
-    if not case_sensitive:
+    if collation is not None:
+        name, start = F.collate(name, collation), F.collate(start, collation)
+    elif not case_sensitive:
         name, start = F.lower(name), F.lower(start)
     return (
         customers.filter(F.startswith(name, start))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from hemline.sources import tables
-from hemline.sources.staging import delete_folder
+from hemline.sources.staging import Scope, delete_folder
 
 MANIFEST = "_manifest.json"
 #: Column that splits a refreshed table; a date, the first of the month.
@@ -31,12 +31,17 @@ class WriteCheckFailed(RuntimeError):
 
 @dataclass
 class Manifest:
-    """``folders``: part (or '' for a whole table) -> version folder. ``digests``: part -> digest of its inputs."""
+    """``folders``: part (or '' for a whole table) -> version folder. ``digests``: part -> digest of its inputs.
+
+    ``bucket_by`` and ``buckets`` tell how the rows of a whole table were dealt to its files.
+    """
 
     schema: str
     folders: dict[str, str] = field(default_factory=dict)
     digests: dict[str, str] = field(default_factory=dict)
     earlier: list[str] = field(default_factory=list)
+    bucket_by: list[str] = field(default_factory=list)
+    buckets: int = 0
 
 
 def _file(spark: SparkSession, path: str):
@@ -79,6 +84,7 @@ def _swap(spark: SparkSession, path: str, old: Manifest | None, new: Manifest, k
     gone, new.earlier = waiting[:max(0, len(waiting) - keep)], waiting[max(0, len(waiting) - keep):]
     _write_manifest(spark, path, new)
     for folder in {f for group in gone for f in group.split("|")} - used:
+        spark.sql(f"DROP TABLE IF EXISTS {tables.bucketed_name(folder)}")
         delete_folder(spark, folder)
 
 
@@ -90,19 +96,23 @@ def _checked(report: DataFrame, folder: str) -> DataFrame:
     return report
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 1) -> DataFrame:
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 1,
+                  layout: tables.Layout | None = None) -> DataFrame:
     """Write ``df`` as the new version of a table, check it, swap; returns the write check.
 
     ``df`` may read the table itself. ``keep`` replaced versions stay for readers at work.
     """
     spark = df.sparkSession
     folder = _new_version(path)
+    extra = () if layout is None else (layout,)
     try:
-        report = _checked(tables.write_verified(df, folder, "errorifexists", fmt), folder)
+        with Scope(spark):
+            report = _checked(tables.write_verified(df, folder, "errorifexists", fmt, *extra), folder)
     except Exception:
         delete_folder(spark, folder)
         raise
-    _swap(spark, path, read_manifest(spark, path), Manifest(df.schema.json(), {"": folder}), keep)
+    dealt = {} if layout is None else {"bucket_by": list(layout.bucket_by), "buckets": layout.buckets}
+    _swap(spark, path, read_manifest(spark, path), Manifest(df.schema.json(), {"": folder}, **dealt), keep)
     return report
 
 
@@ -115,6 +125,8 @@ def read_version(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     folders = [f if part == "" else f"{f}/{PART}={part}" for part, f in manifest.folders.items()]
     if not folders:
         return spark.createDataFrame([], schema)
+    if manifest.buckets:
+        return tables.bucketed_table(spark, folders[0], schema, manifest.bucket_by, manifest.buckets, fmt)
     return spark.read.format(fmt).schema(schema).load(folders)
 
 

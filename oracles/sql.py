@@ -736,6 +736,22 @@ _PLAIN: dict[str, str] = {
     "customers_by_name": "SELECT CustomerID, Name, Gender, City, Country FROM s_customers "
                          "WHERE Name ILIKE 'ann%' ORDER BY CustomerID LIMIT 20",
     "customer_invoices": _INVOICES + " WHERE CustomerID = 42",
+    "stored_customer_invoices": _INVOICES + " WHERE CustomerID = 42",
+    "customers_by_name_ci_ai": """SELECT CustomerID,
+        CASE WHEN CustomerID % 2 = 0 THEN translate(Name, 'An', 'Áñ') ELSE Name END AS Name, Gender, City, Country
+        FROM s_customers WHERE Name ILIKE 'ann%' ORDER BY CustomerID LIMIT 20""",
+    "stored_customer_lookups": " UNION ALL ".join(
+        f"(SELECT {doubles('TotalSpending', 'AverageSpending')}, '{by}' AS Lookup FROM g_customers "
+        f"WHERE {test} ORDER BY CustomerID LIMIT 1)" for by, test in {
+            "id": "CustomerID = 42", "email": "Email = 'user43@example.com'", "phone": "Telephone = '+333315'",
+        }.items()),
+    "gold_customers_bucketed": f"SELECT {doubles('TotalSpending', 'AverageSpending')} FROM g_customers",
+    "load_or_build": f"SELECT {doubles('ProductionCost')} FROM s_products",
+    "spending_summary_merged": " UNION ALL ".join(
+        f"""SELECT '{c}' AS metric, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 2) AS mean,
+        round(stddev_samp(CAST({c} AS DOUBLE)), 2) AS stddev, round(CAST(min({c}) AS DOUBLE), 2) AS min,
+        round(CAST(max({c}) AS DOUBLE), 2) AS max, true AS q25_within, true AS q50_within, true AS q75_within
+        FROM invoices""" for c in ("InvoiceTotal", "InvoiceTotalUSD")),
 }
 
 _EXPORTED = {"customers": "gold_customers", "discounts": "silver_discounts", "employees": "silver_employees",
@@ -744,4 +760,22 @@ _EXPORTED = {"customers": "gold_customers", "discounts": "silver_discounts", "em
 # only invoices have amounts beyond their column in this data; export_rejects shows it
 _PLAIN |= {f"export_{name}": _PLAIN[query] for name, query in _EXPORTED.items()}
 
+#: Rows of every table the stored flow writes; nothing in these tables is broken or rejected.
+_FLOW_ROWS = {("silver", name): f"SELECT count(*) FROM s_{name}" for name in
+              ("employees", "stores", "customers", "products", "discounts", "transactions")}
+_FLOW_ROWS |= {("silver", f"{kind}_{name}"): "SELECT 0" for _, name in list(_FLOW_ROWS) for kind in ("broken", "rejected")}
+_FLOW_ROWS |= {
+    ("gold", "invoice_fact"): "SELECT count(*) FROM invoices",
+    ("gold", "missing_rates"): f"SELECT count(*) FROM ({_PLAIN['fx_missing']})",
+    ("gold", "invoice_line_items"): "SELECT count(*) FROM attached",
+    ("gold", "key_violations"): f"SELECT count(*) FROM ({_PLAIN['gold_key_violations']})",
+    ("gold", "stores"): "SELECT count(*) FROM g_stores",
+    ("gold", "customer_metrics"): "SELECT count(DISTINCT CustomerID) FROM items",
+    ("gold", "customers"): "SELECT count(*) FROM g_customers",
+    ("gold", "segment_metrics"): f"SELECT count(*) FROM ({_PLAIN['segment_metrics']})",
+}
+_PLAIN["flow_report"] = " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, n AS written_count, n AS read_count, true AS counts_match, "
+    f"true AS types_match FROM ({count}) AS c(n)" for (layer, name), count in _FLOW_ROWS.items())
+
 ORACLES: dict[str, str] = {name: with_tables(sql) for name, sql in _PLAIN.items()}
