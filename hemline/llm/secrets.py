@@ -21,6 +21,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hemline.llm.common import ROW, numbered
+
 #: Kinds in their order, with pattern and group of the value. Fixed values.
 ASSIGN = (r"(?:([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
           r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))"
@@ -51,31 +53,57 @@ def most_sum(bits: float) -> int:
     return WINDOW * (round(math.log2(WINDOW) * 1e6) - round(bits * 1e6))
 
 
-def _count(text: Column, character: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, character, F.lit("")))
+#: The characters of a candidate, each with its place in a text of counts.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: A count as one character, 0 first.
+LEVELS = "ABCDEFGHIJKLMNOPQRSTU"
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def hot_range(candidate: Column) -> Column:
-    """Struct (first, last): places, from 1, of the first and last character in hot windows; 0 if none."""
+    """Struct (first, last): places, from 1, of the first and last character in hot windows; 0 if none.
+
+    The window's counts are a text with a character for each of the alphabet. A step lowers the
+    count of the character that leaves, raises that of the one that comes, and corrects the sum
+    of c * log2(c) by these two, so its cost does not depend on the window.
+    """
     table = F.array(*[F.lit(b).cast("long") for b in BITS])
     limit = F.when(candidate.rlike(HEX_CLASS), most_sum(HEX_BITS)).otherwise(most_sum(BASE64_BITS))
-    start = F.struct(F.lit("").alias("w"), F.lit(0).cast("long").alias("s"), F.lit(0).alias("i"),
-                     F.lit(0).alias("first"), F.lit(0).alias("last"))
+    start = F.struct(F.lit(LEVELS[0] * len(ALPHABET)).alias("n"), F.lit(0).cast("long").alias("s"),
+                     F.lit("").alias("w"), F.lit(0).alias("i"), F.lit(0).alias("first"), F.lit(0).alias("last"))
+
+    def changed(state: Column, character: Column, by: int) -> Column:
+        """Struct (n, s) with one character's count changed by 1."""
+        def at(place: Column) -> Column:
+            def level(count: Column) -> Column:  # from 1
+                return F.struct(
+                    F.overlay(state["n"], F.substring(F.lit(LEVELS), count + by, 1), place, 1).alias("n"),
+                    (state["s"] + F.element_at(table, count + by) - F.element_at(table, count)).alias("s"))
+
+            return _let(F.instr(F.lit(LEVELS), F.substring(state["n"], place, 1)), level)
+
+        return _let(F.instr(F.lit(ALPHABET), character), at)
 
     def step(acc: Column, c: Column) -> Column:
-        full = F.length(acc["w"]) == WINDOW
-        both = F.concat(acc["w"], c)
-        came = _count(acc["w"], c)
-        gone = _count(both, F.substring(acc["w"], 1, 1))
-        total = acc["s"] + F.element_at(table, came + 2) - F.element_at(table, came + 1) + F.when(
-            full, F.element_at(table, gone) - F.element_at(table, gone + 1)).otherwise(0)
         place = acc["i"] + 1
-        hot = (place >= WINDOW) & (total <= limit)
-        return F.struct(
-            F.when(full, F.substring(both, 2, WINDOW)).otherwise(both).alias("w"),
-            total.alias("s"), place.alias("i"),
-            F.when(hot & (acc["first"] == 0), place - WINDOW + 1).otherwise(acc["first"]).alias("first"),
-            F.when(hot, place).otherwise(acc["last"]).alias("last"))
+        # what leaves goes first, so no count exceeds the window
+        full = place > WINDOW
+        left = F.when(full, changed(acc, F.substring(acc["w"], 1, 1), -1)).otherwise(
+            F.struct(acc["n"].alias("n"), acc["s"].alias("s")))
+        window = F.concat(F.when(full, F.substring(acc["w"], 2, WINDOW)).otherwise(acc["w"]), c)
+
+        def moved(now: Column) -> Column:
+            hot = (place >= WINDOW) & (now["s"] <= limit)
+            return F.struct(
+                now["n"].alias("n"), now["s"].alias("s"), window.alias("w"), place.alias("i"),
+                F.when(hot & (acc["first"] == 0), place - WINDOW + 1).otherwise(acc["first"]).alias("first"),
+                F.when(hot, place).otherwise(acc["last"]).alias("last"))
+
+        return _let(_let(left, lambda state: changed(state, c, 1)), moved)
 
     return F.aggregate(F.split(candidate, ""), start, step,
                        lambda acc: F.struct(acc["first"], acc["last"]))
@@ -149,12 +177,12 @@ def secrets_report(docs: DataFrame, **options) -> DataFrame:
                         _text_of(F.col("spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]",
-           **options) -> DataFrame:
-    """The documents with every span replaced by a mark; ids must be unique."""
-    found = scan(docs, id_col, text_col, **options).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
-    joined = docs.join(found, docs[id_col].eqNullSafe(F.col("__id")))
-    text = docs[text_col]
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]", **options) -> DataFrame:
+    """The documents with every span replaced by a mark, rows of null or repeated ids each by its own spans."""
+    rows = numbered(docs)
+    found = scan(rows, ROW, text_col, **options).select(F.col("doc_id").alias(ROW), F.col("spans").alias("__spans"))
+    joined = rows.join(found, ROW)
+    text = rows[text_col]
     # overlapping spans join: each keeps only what lies beyond the farthest stop so far
     done = F.aggregate(
         "__spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
@@ -165,4 +193,4 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
             s["stop"].alias("at"))))
     new = F.when(F.size("__spans") == 0, text).otherwise(
         F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text))))
-    return joined.select(*[new.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    return joined.select(*[new.alias(c) if c == text_col else rows[c] for c in docs.columns])
