@@ -10,7 +10,7 @@ its worst window.
 
 Every window of a whole text is scored, in blocks of bounded size. The model is fitted on
 the driver from at most ``PER_CLASS`` labelled documents a class and ``WINDOWS_EACH``
-windows of each, and travels to the tasks with the job: its size is fixed.
+windows of each, half of them those with the highest log-odds to begin with, and travels to the tasks with the job: its size is fixed.
 
 Null or empty text, and text without letters or digits, has one window without tokens.
 Null ids get a null ``held_out``; repeated ids are rows of their own; a table without
@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 from hemline.llm.common import LOWER, Block, blocks, prefix_hash, ship, span_hash
 from hemline.llm.sampling import labelled_sample, remainder
 
-LENGTH, STEP = 32, 24
+#: Neighbouring windows share half, so a passage of up to 17 tokens stands whole in one of them.
+LENGTH, STEP = 32, 16
 HIDDEN, INPUT, ATTENTION = 8, 12, 8
 GRAMS = 1 << 16
 VOCABULARY = 4096
@@ -272,6 +273,29 @@ def document_counts(t: Tokens, y: np.ndarray) -> tuple[np.ndarray, ...]:
     return words[0], words[1], grams[0], grams[1]
 
 
+def window_odds(model: Network, t: Tokens, words: np.ndarray, n_grams: np.ndarray,
+                begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Mean log-odds of each window's tokens as the embeddings start: of words, and of n-grams on average."""
+    of_gram = np.append(0, np.cumsum(model.p["grams"][t.grams, 1].astype(np.float64)))
+    token = model.p["words"][words, 0] + (of_gram[t.at + n_grams] - of_gram[t.at]) / np.maximum(n_grams, 1)
+    total = np.append(0, np.cumsum(token[t.where]))
+    return (total[begin + n] - total[begin]) / np.maximum(n, 1)
+
+
+def windows_to_train(row: np.ndarray, odds: np.ndarray, rng, each: int = WINDOWS_EACH) -> np.ndarray:
+    """At most ``each`` windows of each document: half the highest by ``odds``, the others at random."""
+
+    def ranked(key: np.ndarray) -> np.ndarray:
+        order = np.lexsort((key, row))
+        first = np.flatnonzero(np.diff(row[order], prepend=-1))
+        rank = np.empty(len(row), np.int64)
+        rank[order] = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+        return rank
+
+    high = ranked(-odds) < each // 2
+    return np.flatnonzero(ranked(np.where(high, -1.0, rng.random(len(row)))) < each)
+
+
 def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Network:
     """Fit on documents: the loss is that of a soft maximum over a document's windows."""
     y = np.asarray(labels, np.float32)
@@ -296,11 +320,7 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed:
     model.p["grams"][:, 1] = odds(toxic_gram, with_gram)
     n_grams = np.diff(np.append(t.at, len(t.grams)))
     row, begin, n = windows_of(t.before)
-    # a bounded number of windows of each document
-    order = np.lexsort((rng.random(len(row)), row))
-    first = np.flatnonzero(np.diff(row[order], prepend=-1))
-    rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
-    chosen = np.sort(order[rank < WINDOWS_EACH])
+    chosen = windows_to_train(row, window_odds(model, t, words, n_grams, begin, n), rng)
     row, begin, n = row[chosen], begin[chosen], n[chosen]
     bounds = np.searchsorted(row, np.arange(len(y) + 1))
     adam = Adam(model.p, 0.01)
