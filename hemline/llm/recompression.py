@@ -1,14 +1,19 @@
 """Repeated word windows by recompression: the first occurrence stays.
 
-A round of recompression replaces maximal runs of one symbol by a new symbol, then pairs
-whose left symbol is in one half of the alphabet and whose right is in the other. Names of
-runs and pairs are hashes of their parts and the halves are bits of names, so all tasks of
-a Spark round name alike without a dictionary. Whether symbols are joined depends on them
-and their neighbours alone; the words a symbol depends on are kept with it, and a symbol
-is safe in a window that holds all of them. Equal windows have equal safe symbols at equal
-places: the one with the least hash of its name and its words is the window's anchor (a
-window without a safe symbol is its own). Names that stand in several places reveal repeats; contexts and window hashes
-verify them.
+Every window of 20 words has an anchor: of the symbols of two rounds that depend on its
+words alone, the one with the least hash of its name and its words (a window without one
+is its own). Equal windows have equal anchors at equal places, so windows whose anchor's
+name stands in one place only are unique and go no further.
+
+What is left is joined on in Spark rounds (``symbol_rounds``). Each takes several rounds of
+runs and pairs inside the tasks, then counts the names over the corpus. A name that stands
+in several places is a repeat as long as the symbol, so all windows inside any but its
+first place go at once. Symbols that stand once cannot be in a longer repeat: they are cut
+out, and the stretches between them go into the next round, until nothing is shared.
+
+Windows that no such symbol holds lie at the edges of repeats or across two symbols. They
+are compared by anchor, and then one by one, by the sequence of the largest symbols inside
+them (``Symbols.names_of``), which is the same for equal words and for no others.
 
 A text's words are runs of visible characters, unchanged. Null text has none. Of copies
 of a text all but those with the smallest id lose every word that a window covers; rows
@@ -23,63 +28,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from hemline.llm.common import Block, blocks, mix, prefix_hash, ship, span_hash, stage
 from hemline.llm.repeats import (anchor_rows, contexts, keyed, owners, shared_anchors, shared_rows,
                                  with_texts)
+from hemline.llm.symbols import Symbols
+from hemline.sources.staging import Scope
 
 WINDOW = 20
+#: Rounds of runs and pairs that anchors come from.
 ROUNDS = 2
-_FAR = 1 << 40
-
-
-def recompress(names: np.ndarray, before: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, ...]:
-    """Symbols after the rounds: name, first word, and the words [low, high) they depend on.
-
-    At a row's edges a symbol depends on words that do not exist: low or high is far away.
-    """
-    row = np.repeat(np.arange(len(before) - 1), np.diff(before))
-    start = np.arange(len(names))
-    low, high = start.copy(), start + 1
-    for level in range(rounds):
-        # runs: a run is maximal by its neighbours
-        head = np.ones(len(names), bool)
-        head[1:] = (names[1:] != names[:-1]) | (row[1:] != row[:-1])
-        at = np.flatnonzero(head)
-        length = np.diff(np.append(at, len(names)))
-        end = at + length - 1
-        edge_l = np.ones(len(at), bool)
-        edge_l[1:] = row[at[1:]] != row[at[:-1]]
-        edge_r = np.append(edge_l[1:], True)
-        name = names[at]
-        with np.errstate(over="ignore"):
-            name = np.where(length > 1, mix(name + length.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), name)
-        new_low = np.where(edge_l, -_FAR, low[np.maximum(at - 1, 0)])
-        new_high = np.where(edge_r, _FAR, high[np.minimum(end + 1, len(names) - 1)])
-        names, row, start, low, high = name, row[at], start[at], new_low, new_high
-        # pairs: left half then right half; pairs cannot overlap
-        right = (mix(names + np.uint64(level + 1)) >> np.uint64(63)).astype(bool)
-        pair = np.zeros(len(names), bool)
-        pair[:-1] = ~right[:-1] & right[1:] & (row[:-1] == row[1:])
-        second = np.zeros(len(names), bool)
-        second[1:] = pair[:-1]
-        at = np.flatnonzero(~second)
-        joined = pair[at]
-        nxt = np.minimum(at + 1, len(names) - 1)
-        with np.errstate(over="ignore"):
-            both = mix(names[at] * np.uint64(0x9FB21C651E98DF25) + mix(names[nxt]))
-        name = np.where(joined, both, names[at])
-        # a pair depends on its parts; a symbol left alone depends on its neighbours too
-        edge_l = np.ones(len(at), bool)
-        edge_l[1:] = row[at[1:]] != row[at[:-1]]
-        edge_r = np.append(edge_l[1:], True)
-        alone_low = np.where(edge_l, -_FAR, low[np.maximum(at - 1, 0)])
-        alone_high = np.where(edge_r, _FAR, high[nxt])
-        names, start, row_ = name, start[at], row[at]
-        low, high = np.where(joined, low[at], alone_low), np.where(joined, high[nxt], alone_high)
-        row = row_
-    return names, start, low, high
+#: Rounds before symbols are first counted over the corpus: they hold about a window then.
+FIRST = 10
+#: Rounds between two counts; each makes of four symbols about three.
+STEP = 8
 
 
 def least_in(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -111,7 +74,8 @@ def window_anchors(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, .
         none = np.zeros(0, np.int64)
         return none.view(np.uint64), none.view(np.uint64), none, none, none
     first = before[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    names, start, low, high = recompress(words, before)
+    symbols = Symbols(words, np.repeat(np.arange(len(n)), n))
+    names, start, low, high = symbols.safe(ROUNDS)
     # within a row low and high never fall; far edges are cut so that this holds over the block
     own = np.searchsorted(before, start, side="right") - 1
     low = np.maximum(low, before[own] - 1)
@@ -133,7 +97,7 @@ def window_anchors(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, .
     at = np.flatnonzero(head)
     windows = np.diff(np.append(at, len(row)))
     begin, mine = first[at], anchor[at]
-    ctx = span_hash(prefix, begin, begin + windows - 1 + WINDOW)
+    ctx = symbols.names_of(begin, begin + windows - 1 + WINDOW)
     with np.errstate(over="ignore"):
         place = np.where(mine >= 0, start[mine] - begin, 0).astype(np.uint64)
         ctx = mix(ctx + place * np.uint64(0x8EBC6AF09C88C6E3))
@@ -163,7 +127,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = np.repeat(np.arange(len(row)), n)
         at = start[part] + np.arange(len(part)) - np.repeat(np.cumsum(n) - n, n)
         place = before[row[part]] + at
-        name = span_hash(prefix_hash(words), place, place + WINDOW).view(np.int64)
+        symbols = Symbols(words, np.repeat(np.arange(len(block)), np.diff(before)))
+        name = symbols.names_of(place, place + WINDOW).view(np.int64)
         pick = pa.array(row[part])
         yield pa.RecordBatch.from_arrays(
             [pa.array(name), block.rows.column(1).take(pick), block.rows.column(0).take(pick),
@@ -203,27 +168,121 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["key", "owner", "n_words", "removed", "kept", "copy_removed", "copy_kept"])
 
 
+def _symbol_rows(key: pa.Array, owner: pa.Array, row: np.ndarray, start: np.ndarray, size: np.ndarray,
+                 name: np.ndarray) -> pa.RecordBatch:
+    pick = pa.array(row)
+    return pa.RecordBatch.from_arrays(
+        [key.take(pick), owner.take(pick), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)),
+         pa.array(name.view(np.int64))], _SYMBOL_NAMES)
+
+
+def _first_symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The symbols of (key, owner, ranges, text) whose words all lie in windows of the ranges."""
+    for block in blocks(batches):
+        words, _, _, before = word_hashes(block)
+        if not len(words):
+            continue
+        row, first, n = _ranges(block, 2)
+        change = np.zeros(len(words) + 1, np.int64)
+        np.add.at(change, before[row] + first, 1)
+        np.add.at(change, before[row] + first + n - 1 + WINDOW, -1)
+        covered = np.append(0, np.cumsum(np.cumsum(change)[:-1] > 0))
+        own = np.repeat(np.arange(len(block)), np.diff(before))
+        name, start = Symbols(words, own).after(FIRST)
+        end = np.append(start[1:], len(words))
+        live = np.flatnonzero(covered[end] - covered[start] == end - start)
+        text = own[start[live]]
+        yield _symbol_rows(block.rows.column(0), block.rows.column(1), text, start[live] - before[text],
+                           end[live] - start[live], name[live])
+
+
+def _next_symbols(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
+    """The symbols of (key, owner, symbols) after more rounds in each stretch of two or more."""
+    for batch in batches:
+        lists = batch.column(2)
+        flat = lists.flatten()
+        start, size, name = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        text = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy())
+        opens = np.ones(len(start), bool)
+        opens[1:] = (text[1:] != text[:-1]) | (start[1:] != start[:-1] + size[:-1])
+        alone = opens & np.append(opens[1:], True)
+        some = np.flatnonzero(~alone)
+        if not len(some):
+            continue
+        stretch, end = np.cumsum(opens)[some], start[some].astype(np.int64) + size[some]
+        made, head = Symbols(name[some].view(np.uint64), stretch, level).after(STEP)
+        to = end[np.append(head[1:], len(some)) - 1]
+        begin = start[some][head]
+        yield _symbol_rows(batch.column(0), batch.column(1), text[some][head], begin, to - begin, made)
+
+
+_SYMBOLS = "key long, owner long, start int, size int, name long"
+_SYMBOL_NAMES = ["key", "owner", "start", "size", "name"]
+_ORDER = ["no_owner", "owner", "key", "start"]
+
+
+def symbol_rounds(texts: DataFrame, live: DataFrame) -> DataFrame:
+    """(key, start, n): windows inside a symbol that also stands earlier.
+
+    ``live`` (key, owner, ranges) lists the windows whose anchors are shared.
+    """
+    symbols = stage(with_texts(texts, live).mapInArrow(_first_symbols, _SYMBOLS), "symbols")
+    level, found = FIRST, []
+    while True:
+        ordered = symbols.withColumn("no_owner", F.col("owner").isNull())
+        named = ordered.groupBy("name").agg(F.count("*").alias("places"), F.min(F.struct(*_ORDER)).alias("head"))
+        shared = ordered.join(named.filter("places > 1"), "name").withColumn(
+            "first", F.struct(*_ORDER) == F.col("head"))
+        shared = stage(shared.select(*_SYMBOL_NAMES, "first"), "shared-symbols")
+        found.append(shared.filter(~F.col("first") & (F.col("size") >= WINDOW)).select(
+            "key", "start", (F.col("size") - WINDOW + 1).alias("n")))
+        # repeated rows of a document give its symbols again: one of each
+        stretches = shared.groupBy("key", "owner").agg(
+            F.sort_array(F.collect_set(F.struct("start", "size", "name"))).alias("symbols"))
+        symbols = stage(stretches.mapInArrow(lambda b, at=level: _next_symbols(b, at), _SYMBOLS), "symbols")
+        level += STEP
+        if symbols.isEmpty():
+            break
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return stage(every, "repeated-symbols")
+
+
+def _outside(rows: DataFrame, covered: DataFrame) -> DataFrame:
+    """The rows (key, start, n, ...) of which not all windows lie in one covered range of their text."""
+    end = F.col("start") + F.col("n")
+    lists = covered.select("key", "start", "n", F.lit(True).alias("cover"))
+    both = rows.withColumn("cover", F.lit(False)).unionByName(lists, allowMissingColumns=True)
+    so_far = Window.partitionBy("key").orderBy("start", F.desc("cover")).rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.max(F.when(F.col("cover"), end)).over(so_far)
+    return both.withColumn("reach", reach).filter(~F.col("cover") & (F.coalesce("reach", F.lit(0)) < end)).select(*rows.columns)
+
+
 def repeated_ranges(texts: DataFrame, own: DataFrame) -> DataFrame:
     """(key, ranges): windows, as (start, n), of each text that also start earlier."""
-    rows = shared_anchors(texts, _anchors)
-    ordered = rows.join(own.select("key", "owner"), "key").withColumn("no_owner", F.col("owner").isNull())
-    order = ["no_owner", "owner", "key", "start"]
-    marked = stage(contexts(ordered, order).select("key", "owner", "start", "n", "first", "names"), "anchors")
-    later = marked.filter("NOT first").select("key", "start", "n")
-    edges = marked.filter("first AND names > 1").groupBy("key", "owner").agg(
-        F.collect_list(F.struct("start", "n")).alias("ranges"))
-    edges = stage(edges, "edge-windows")
-    windows = with_texts(texts, edges).select("key", "owner", "ranges", "text").mapInArrow(
-        _windows, "name long, owner long, key long, start int").withColumn("no_owner", F.col("owner").isNull())
-    dealt = windows.select("name", "no_owner", "owner", "key", "start").withColumn(
-        "owner", F.coalesce("owner", F.lit(0))).repartition("name").sortWithinPartitions(
-        "name", "no_owner", "owner", "key", "start")
-    single = dealt.mapInArrow(lambda b: shared_rows(b, 0, [0, 3, 4], skip_first=True),
-                              "name long, no_owner boolean, owner long, key long, start int")
-    single = single.select("key", "start", F.lit(1).alias("n"))
-    sure = rows.filter("sure").select("key", "start", "n")
-    every = sure.unionByName(later).unionByName(single)
-    return stage(every.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("ranges")), "repeats")
+    with Scope(texts.sparkSession) as scope:
+        rows = shared_anchors(texts, _anchors)
+        live = rows.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
+        inside = symbol_rounds(texts, own.select("key", "owner").join(live, "key"))
+        ordered = _outside(rows.filter("NOT sure"), inside).join(own.select("key", "owner"), "key").withColumn(
+            "no_owner", F.col("owner").isNull())
+        marked = stage(contexts(ordered, _ORDER).select("key", "owner", "start", "n", "first", "names"), "anchors")
+        later = marked.filter("NOT first").select("key", "start", "n")
+        edges = marked.filter("first AND names > 1").groupBy("key", "owner").agg(
+            F.collect_list(F.struct("start", "n")).alias("ranges"))
+        edges = stage(edges, "edge-windows")
+        windows = with_texts(texts, edges).select("key", "owner", "ranges", "text").mapInArrow(
+            _windows, "name long, owner long, key long, start int").withColumn("no_owner", F.col("owner").isNull())
+        dealt = windows.select("name", "no_owner", "owner", "key", "start").withColumn(
+            "owner", F.coalesce("owner", F.lit(0))).repartition("name").sortWithinPartitions(
+            "name", "no_owner", "owner", "key", "start")
+        single = dealt.mapInArrow(lambda b: shared_rows(b, 0, [0, 3, 4], skip_first=True),
+                                  "name long, no_owner boolean, owner long, key long, start int")
+        single = single.select("key", "start", F.lit(1).alias("n"))
+        sure = rows.filter("sure").select("key", "start", "n")
+        every = sure.unionByName(inside).unionByName(later).unionByName(single)
+        return scope.keep(stage(every.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("ranges")), "repeats"))
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
