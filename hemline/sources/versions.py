@@ -147,11 +147,17 @@ def digests(df: DataFrame, day: Column | None) -> DataFrame:
     return sums.select("part", F.concat_ws(":", "_n", "_s").alias("digest"))
 
 
-def input_digests(inputs: Mapping[str, tuple[DataFrame, Column | None]]) -> dict[str, str]:
-    """Per month one digest of all inputs. Brings one short row per input and month to the driver."""
-    found: dict[str, dict[str | None, str]] = {}
-    for name, (df, day) in inputs.items():
-        found[name] = {r["part"]: r["digest"] for r in digests(df, day).collect()}
+Digests = dict[str, dict[str | None, str]]
+
+
+def collected_digests(inputs: Mapping[str, tuple[DataFrame, Column | None]]) -> Digests:
+    """The digests of each input by month. Brings one short row per input and month to the driver."""
+    return {name: {r["part"]: r["digest"] for r in digests(df, day).collect()}
+            for name, (df, day) in inputs.items()}
+
+
+def input_digests(found: Digests) -> dict[str, str]:
+    """Per month one digest of all inputs."""
     shared = "|".join(f"{n}={d[None]}" for n, d in found.items() if None in d)
     months = {p for d in found.values() for p in d if p is not None}
     return {p: shared + "|" + "|".join(f"{n}={d[p]}" for n, d in found.items() if p in d) for p in sorted(months)}
@@ -178,10 +184,8 @@ def refresh_table(path: str, inputs: Mapping[str, tuple[DataFrame, Column | None
     """
     spark = inputs[driving][0].sparkSession
     old = read_manifest(spark, path)
-    now = input_digests(inputs)
-    alive = {r["part"] for r in inputs[driving][0].select(
-        F.date_format(month(inputs[driving][1]), "yyyy-MM-dd").alias("part")).distinct().collect()} - {None}
-    now = {p: d for p, d in now.items() if p in alive}
+    found = collected_digests(inputs)
+    now = {p: d for p, d in input_digests(found).items() if p in found[driving]}
     known = old.digests if old else {}
     changed = [p for p in now if known.get(p) != now[p]]
     dropped = [p for p in known if p not in now]

@@ -31,3 +31,16 @@ def test_staged_scans_read_only_what_is_used(spark, data):
     # rows whose key occurs once come first; only suspects are compared in all bronze columns
     scan = next(x for x in text.splitlines() if "bronze-lines-" in x)
     assert "SKU" not in scan and "PaymentMethod" not in scan and "EmployeeID" not in scan
+
+
+def test_refresh_reads_the_driving_input_once_to_compare_it(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(D(2024, 1, 5), 1), (None, 2)], "day date, n int")
+    path = str(tmp_path / "t")
+
+    def refresh(df):
+        return versions.refresh_table(path, {"rows": (df, F.col("day"))}, lambda t: t["rows"], "day", "rows")
+
+    monkeypatch.setattr(DataFrame, "distinct", lambda df: pytest.fail("another pass over the input"))
+    assert refresh(rows).written == ["2024-01-01"]
+    assert refresh(rows).written == []
+    assert refresh(rows.filter("day IS NULL")).dropped == ["2024-01-01"]
