@@ -337,6 +337,9 @@ SERVED: dict[str, str] = {
 
 
 def export_rejects(t: Shop) -> DataFrame:
+    # customers, stores and the line table are made of the same line items
+    t.lines = stage(t.lines, "line-items")
+    t.line_table = gold.placed_table(t.lines, t.places)
     return reduce(DataFrame.unionByName,
                   [rejected_values(getattr(t, source), name) for name, source in SERVED.items()])
 

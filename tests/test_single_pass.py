@@ -33,6 +33,12 @@ def test_staged_scans_read_only_what_is_used(spark, data):
     assert "SKU" not in scan and "PaymentMethod" not in scan and "EmployeeID" not in scan
 
 
+def test_exports_share_the_line_items(spark, data):
+    shop = entry.Shop(spark, data)
+    entry.export_rejects(shop)
+    assert files(shop.lines, "line-items-") and not files(shop.lines, "bronze-lines-")
+
+
 def test_margins_are_not_sorted(spark, data, monkeypatch):
     shop, sorted_columns = entry.Shop(spark, data), []
     number = gold.number_rows
