@@ -313,13 +313,21 @@ def conforming_rows(df: DataFrame, schema: StructType) -> DataFrame:
     return df.filter((missing == "") & (malformed == "")).select(*_typed(schema))
 
 
+def judged_rows(df: DataFrame, schema: StructType, *others: Column) -> DataFrame:
+    """All rows, typed as far as they go, with the columns that are missing or malformed, and ``others``."""
+    missing, malformed = _problems(schema)
+    return df.select(
+        *_typed(schema), missing.alias("missing_columns"), malformed.alias("malformed_columns"), *others)
+
+
+def is_rejected() -> Column:
+    """Whether a judged row lacks a required value or holds a malformed one."""
+    return (F.col("missing_columns") != "") | (F.col("malformed_columns") != "")
+
+
 def rejected_rows(df: DataFrame, schema: StructType) -> DataFrame:
     """The other rows, typed as far as they go, with the columns that are missing or malformed."""
-    missing, malformed = _problems(schema)
-    return (
-        df.select(*_typed(schema), missing.alias("missing_columns"), malformed.alias("malformed_columns"))
-        .filter((F.col("missing_columns") != "") | (F.col("malformed_columns") != ""))
-    )
+    return judged_rows(df, schema).filter(is_rejected())
 
 
 def column_types(schema: StructType) -> list[tuple[str, str]]:

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hemline import schemas
 from hemline.operators.joins import missing_rates
-from hemline.operators.quality import conforming_rows, key_violations, rejected_rows
+from hemline.operators.quality import is_rejected, judged_rows, key_violations
 from hemline.operators.sketches import part_summaries
 from hemline.plans import gold, reports, silver
-from hemline.sources.delimited import broken_records, read_csv_text, whole_records
+from hemline.sources.delimited import RECORD, read_csv_text, values_found
 from hemline.sources.staging import Scope, stage
 from hemline.sources.tables import Catalog, Layout, extend_table, promote_table, read_table, write_mode
 from hemline.sources.versions import Refresh, refresh_table, replace_table
@@ -64,12 +64,16 @@ def _run_silver(spark: SparkSession, catalog: Catalog, translations: DataFrame |
     def bronze(name: str) -> DataFrame:
         schema = schemas.BRONZE[name]
         text = read_csv_text(spark, catalog.bronze(name), schema, records=True)
-        raw = whole_records(text)
+        # three tables are made of it, and lines are read three times to tell copies: the text is parsed once
+        judged = stage(judged_rows(text, schema, F.col(RECORD).alias("record"), values_found(text)), f"typed-{name}")
+        whole = judged.filter("record IS NULL")
         checks[f"broken_{name}"] = replace_table(
-            broken_records(text), catalog.silver(f"broken_{name}"), catalog.fmt)
+            judged.filter("record IS NOT NULL").select("record", "values_found"),
+            catalog.silver(f"broken_{name}"), catalog.fmt)
         checks[f"rejected_{name}"] = replace_table(
-            rejected_rows(raw, schema), catalog.silver(f"rejected_{name}"), catalog.fmt)
-        return conforming_rows(raw, schema)
+            whole.filter(is_rejected()).drop("record", "values_found"),
+            catalog.silver(f"rejected_{name}"), catalog.fmt)
+        return whole.filter(~is_rejected()).select(*schema.names)
 
     def write(name: str, df: DataFrame, layout: Layout | None = None) -> None:
         conformed = gold.shaped(df, schemas.SILVER[name])
@@ -81,8 +85,7 @@ def _run_silver(spark: SparkSession, catalog: Catalog, translations: DataFrame |
     write("customers", silver.customers(bronze("customers"), translations), customer_layout(spark, buckets))
     write("products", silver.products(bronze("products")))
     write("discounts", silver.discounts(bronze("discounts")))
-    # read three times to tell copies, so the text is parsed once
-    write("transactions", silver.transactions(stage(bronze("transactions"), "typed-transactions")))
+    write("transactions", silver.transactions(bronze("transactions")))
     return _report(checks)
 
 

@@ -54,9 +54,13 @@ def read_csv_text(spark: SparkSession, path: str, schema: StructType, header: bo
 
 def broken_records(text: DataFrame) -> DataFrame:
     """The records with too few or too many fields, as they stand in the file, and the values found in them."""
+    return text.filter(F.col(RECORD).isNotNull()).select(F.col(RECORD).alias("record"), values_found(text))
+
+
+def values_found(text: DataFrame) -> Column:
+    """How many values a record has."""
     values = [F.col(c).isNotNull().cast("int") for c in text.columns if c != RECORD]
-    found = reduce(Column.__add__, values, F.lit(0))
-    return text.filter(F.col(RECORD).isNotNull()).select(F.col(RECORD).alias("record"), found.alias("values_found"))
+    return reduce(Column.__add__, values, F.lit(0)).alias("values_found")
 
 
 def whole_records(text: DataFrame) -> DataFrame:

@@ -68,3 +68,25 @@ def test_refresh_reads_the_driving_input_once_to_compare_it(spark, tmp_path, mon
     assert refresh(rows).written == ["2024-01-01"]
     assert refresh(rows).written == []
     assert refresh(rows.filter("day IS NULL")).dropped == ["2024-01-01"]
+
+
+def test_bronze_text_is_parsed_once(spark, tmp_path, monkeypatch):
+    kept = flow.replace_table
+    written = {}
+
+    def replace(df, path, *args, **kwargs):
+        written[path.rsplit("/", 1)[1]] = (files(df, "/bronze/"), df.columns)
+        return kept(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(flow, "replace_table", replace)
+    catalog = Catalog(str(tmp_path))
+    full = ["1", *["x"] * 10, "1.5"]
+    wrong = "\n".join(",".join(r) for r in (["y", *full[1:]], ["2"], ["", *full[1:]]))
+    for name, text in BRONZE.items():
+        (tmp_path / "bronze" / name).mkdir(parents=True)
+        (tmp_path / "bronze" / name / "part.csv").write_text(text + (wrong if name == "products" else ""))
+    report = {r.table_name: r.written_count for r in flow.run_silver(spark, catalog).collect()}
+    assert (report["products"], report["rejected_products"], report["broken_products"]) == (2, 2, 1)
+    assert not any(bronze for bronze, _ in written.values())
+    assert written["broken_products"][1] == ["record", "values_found"]
+    assert written["rejected_products"][1] == [*schemas.PRODUCTS.names, "missing_columns", "malformed_columns"]
