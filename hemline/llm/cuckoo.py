@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hemline.llm.common import ROW, numbered, ship, stage
+from hemline.llm.common import ROW, chosen, numbered, ship, stage
 
 SLOTS = 4
 KICKS = 200
@@ -385,5 +385,4 @@ def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The documents that stay, one row of each group, with all their columns."""
     rows = numbered(docs)
     index = build_index(digests(rows, id_col, text_col, F.col(ROW).alias("row")))
-    kept = stage(index.select(F.col("row").alias("__kept")), "kept-rows")
-    return rows.join(kept, rows[ROW] == kept["__kept"], "left_semi").drop(ROW)
+    return chosen(rows, index.select("row"))

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hemline.llm.common import LOWER, ROW, Block, blocks, mix, numbered, prefix_hash, ship, span_hash, stage
+from hemline.llm.common import LOWER, ROW, Block, blocks, chosen, mix, numbered, prefix_hash, ship, span_hash, stage
 from hemline.llm.components import components
 from hemline.sources.staging import Scope
 
@@ -519,5 +519,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     full = member.filter("n_shingles > 0").join(ids, F.col("__member") == F.col("__number"))
     first = F.min(F.struct(F.col("__id").isNull(), "__id", "__number"))
     kept = full.groupBy("component").agg(first.alias("first")).select(F.col("first.__number").alias("__kept"))
-    kept = kept.unionByName(member.filter("n_shingles = 0").select(F.col("__member").alias("__kept")))
-    return rows.join(kept, rows[ROW] == kept["__kept"], "left_semi").drop(ROW)
+    return chosen(rows, kept.unionByName(member.filter("n_shingles = 0").select(F.col("__member").alias("__kept"))))

@@ -155,10 +155,15 @@ def drop_duplicate_rows(df: DataFrame, *keys: str, repeats: DataFrame | None = N
 def _marked(df: DataFrame, keys: Sequence[str], repeats: DataFrame, bits: int) -> DataFrame:
     """The rows with ``_repeated``: whether the filter holds their key. It has ``bits`` / 8 bytes at most."""
     place = _key_place(keys, bits)
-    spot = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring("_bitmap", (F.floor(spot / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     return df.join(F.broadcast(repeats), F.bitmap_bucket_number(place) == F.col("_bucket"), "left").withColumn(
-        "_repeated", F.col("_bitmap").isNotNull() & (F.getbit(byte, (spot % 8).cast("int")) == 1))
+        "_repeated", F.col("_bitmap").isNotNull() & bit_set(F.col("_bitmap"), place))
+
+
+def bit_set(bitmap: Column, place: Column) -> Column:
+    """Whether the bitmap of a place's bucket holds the place."""
+    spot = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(spot / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (spot % 8).cast("int")) == 1
 
 
 # --- whole-column checks --------------------------------------------------

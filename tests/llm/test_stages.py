@@ -3,8 +3,10 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from hemline.llm import cuckoo, mixing, ngram_join, toxicity
+from hemline.llm.common import ROW, chosen, numbered
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 BASE = " ".join(f"word{i}" for i in range(60))
@@ -72,3 +74,30 @@ def test_each_row_is_taken_by_its_own_number(spark, ids):
     assert +taken == +want
     for p in plan:
         assert abs(total[p.source] - p.target) <= max(size.values())
+
+
+def test_chosen_rows_are_those_listed(spark):
+    rows = numbered(spark.range(100_000, numPartitions=2))
+    listed = rows.filter("id % 7 = 3 OR id IN (0, 1, 32767, 32768, 32769, 99999)")
+    twice = listed.select(F.col(ROW).alias("n")).unionByName(listed.select(F.col(ROW).alias("n")))
+    kept = chosen(rows, twice)
+    assert kept.columns == ["id"]
+    assert sorted(r.id for r in kept.collect()) == sorted(r.id for r in listed.collect())
+    assert chosen(rows, twice.limit(0)).count() == 0
+    assert chosen(rows, rows.select(ROW)).count() == 100_000
+
+
+@pytest.mark.parametrize("stage", [cuckoo.unique_documents, ngram_join.one_of_each])
+def test_kept_rows_are_found_without_an_exchange_of_texts(spark, stage):
+    docs = spark.range(3000, numPartitions=3).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") - F.col("id") % 3).alias("text"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # a list of the 1,000 rows that stay is larger, their bitmaps are not
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3000")
+    try:
+        kept = stage(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 3000, 3))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
