@@ -13,6 +13,7 @@ the order is total.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,6 +33,12 @@ def number_rows(
     The order must be total for the numbers to be repeatable. Runs the staged
     sort and a count over it; what comes back is a lazy scan of the staged table.
     """
+    rows, count = _numbered(df, order, name)
+    return rows.withColumn(total, F.lit(count).cast("bigint")) if total else rows
+
+
+def _numbered(df: DataFrame, order: Sequence[Column | str], name: str, earlier: int = 0) -> tuple[DataFrame, int]:
+    """The rows numbered from ``earlier`` + 1, and how many they are."""
     place = F.monotonically_increasing_id()
     rows = stage(df.orderBy(*order).withColumn("_place", place), "numbered")
 
@@ -39,12 +46,40 @@ def number_rows(
     counts = dict(rows.groupBy(part.alias("part")).count().collect())
     sizes = [counts.get(p, 0) for p in range(max(counts, default=0) + 1)]
     # one text instead of one literal per partition, folded to a constant array
-    before = F.split(F.lit(",".join(map(str, accumulate(sizes, initial=0)))), ",")
+    before = F.split(F.lit(",".join(map(str, accumulate(sizes, initial=earlier)))), ",")
     within = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    added = {name: F.element_at(before.cast("array<bigint>"), part + 1) + within + 1}
-    if total:
-        added[total] = F.lit(sum(sizes)).cast("bigint")
-    return rows.withColumns(added).drop("_place")
+    number = F.element_at(before.cast("array<bigint>"), part + 1) + within + 1
+    return rows.withColumn(name, number).drop("_place"), sum(sizes)
+
+
+#: Rows drawn per slice to cut slices of about equal size.
+_SAMPLE = 1000
+
+
+def number_slices(df: DataFrame, keys: Sequence[str], name: str, slices: int) -> DataFrame:
+    """``number_rows`` in ascending order of ``keys``, NULLs first, as so many sorts one after the other.
+
+    A sort holds all its rows in shuffle files; those of a slice are deleted before the next
+    slice is sorted. The slices follow each other in the order and are cut by a sample, which decides
+    their sizes only, not the numbers; rows equal in all keys fall into one slice. Each slice reads
+    ``df`` twice, so it should be staged.
+    """
+    order = [F.asc_nulls_first(k) for k in keys]
+    if slices < 2:
+        return number_rows(df, order, name)
+    rows = df.count()
+    drawn = df.select(*keys).sample(fraction=min(1.0, _SAMPLE * slices / max(rows, 1)), seed=7).orderBy(*order).collect()
+    bounds = [drawn[len(drawn) * i // slices] for i in range(1, slices)] if drawn else []
+    kinds, key = dict(df.dtypes), F.struct(*keys)
+    cuts = [F.struct(*[F.lit(b[k]).cast(kinds[k]).alias(k) for k in keys]) for b in bounds]
+    parts, earlier = [], 0
+    # fields of a struct compare as in the sort: one by one, NULL least
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        inside = F.lit(True) if low is None else key >= low
+        part, count = _numbered(df.filter(inside if high is None else inside & (key < high)), order, name, earlier)
+        parts.append(part)
+        earlier += count
+    return reduce(DataFrame.unionByName, parts)
 
 
 def tile_of(position: Column, rows: Column, tiles: int) -> Column:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from hemline.sources.staging import freed_shuffles
+
 #: Column of the text of a record that has too few or too many fields, or a value of another type.
 RECORD = "_record"
 
@@ -69,7 +71,14 @@ def whole_records(text: DataFrame) -> DataFrame:
     return text.filter(F.col(RECORD).isNull() & (others >= -(1 << 31))).drop(RECORD)
 
 
+#: Quoted text takes several times the room of a columnar table, so it is packed, at the level that costs least.
+_PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+#: A packed file is read by one task, so none gets larger than so many records.
+FILE_RECORDS = 200_000
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Values keep their blanks; an empty text and NULL both come back as NULL."""
+    """Values keep their blanks; an empty text and NULL both come back as NULL. The files are packed with gzip."""
     keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    df.write.mode(mode).options(**_FORM, **keep, quoteAll="true").csv(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.mode(mode).options(**_FORM, **keep, **_PACKED, quoteAll="true", maxRecordsPerFile=FILE_RECORDS).csv(path)

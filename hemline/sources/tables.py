@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from hemline.operators.quality import column_types, enforce_schema
-from hemline.sources.staging import stage
+from hemline.sources.staging import COMPRESSION, freed_shuffles, stage
 
 # How a run of each environment writes.
 WRITE_MODES = {"dev": "overwrite", "test": "overwrite", "prod": "append"}
@@ -109,7 +109,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
 
     Files are as large as the last exchange makes them (adaptive coalescing
     merges small ones), never one file per table. Ranges are cut by a sample of the
-    rows, which are staged so that they are not built twice.
+    rows, which are staged so that they are not built twice. The shuffle files go with the write.
     """
     if layout.bucket_by:
         df = df.repartition(layout.buckets, *layout.bucket_by)
@@ -118,17 +118,20 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     writer = df.write.format(fmt).mode(mode).options(**layout.options())
     if fmt == "delta":
         writer = writer.options(**DELTA_OPTIONS)
+    if fmt == "parquet":
+        writer = writer.option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if not layout.bucket_by:
-        writer.save(path)
-        return
-    # only a named table can be written in buckets; the name goes, its files stay
-    name = f"hemline_write_{uuid.uuid4().hex}"
-    try:
-        writer.bucketBy(layout.buckets, *layout.bucket_by).sortBy(*layout.bucket_by).option("path", path).saveAsTable(name)
-    finally:
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    with freed_shuffles(df.sparkSession):
+        if not layout.bucket_by:
+            writer.save(path)
+            return
+        # only a named table can be written in buckets; the name goes, its files stay
+        name = f"hemline_write_{uuid.uuid4().hex}"
+        try:
+            writer.bucketBy(layout.buckets, *layout.bucket_by).sortBy(*layout.bucket_by).option("path", path).saveAsTable(name)
+        finally:
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def bucketed_table(spark: SparkSession, path: str, schema: StructType, columns: list[str], buckets: int,
